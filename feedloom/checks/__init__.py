@@ -6,7 +6,7 @@ from importlib import import_module
 
 from feedloom.checks import registry
 
-_MODULES = ("rules",)
+_MODULES = ("rules", "ingest", "texts")
 
 
 def _load() -> None:

@@ -23,7 +23,9 @@ def context_load(spark: SparkSession, path: str, default: str = PLACEHOLDER_CONT
 
 
 def context_parse(documents: DataFrame, default: str = PLACEHOLDER_CONTEXT) -> DataFrame:
-    return documents.select(or_default(F.col("value"), F.lit(default)).alias("context"))
+    """Documents with their ``value`` as ``context``; other columns stay."""
+    others = [c for c in documents.columns if c != "value"]
+    return documents.select(*others, or_default(F.col("value"), F.lit(default)).alias("context"))
 
 
 def config_lists(settings: DataFrame, value: str = "value") -> DataFrame:
