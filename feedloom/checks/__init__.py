@@ -6,7 +6,7 @@ from importlib import import_module
 
 from feedloom.checks import registry
 
-_MODULES = ("rules", "ingest", "texts")
+_MODULES = ("rules", "ingest", "texts", "models", "streams")
 
 
 def _load() -> None:

@@ -41,8 +41,13 @@ def _text(value: int | Column) -> Column:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    dates = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return items_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "events"))
+
+
+def items_of(documents: DataFrame, events: DataFrame) -> DataFrame:
+    """Items of a batch or a stream of documents; events date them."""
+    docs = documents.select("doc_id", "text", "source")
+    dates = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     pos = F.col("doc_id")
     link = F.concat(F.lit(LINK), _text(pos - pos % 2))
     no_link = pos % 29 == 0
@@ -58,6 +63,12 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table read as a stream of files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link is in it; those of every seventh item are young enough to matter."""
     pos = F.col("doc_id")

@@ -87,7 +87,7 @@ def noncommittal_null(value: Column) -> Column:
 def labelled_text(reply: Column, label: str) -> Column:
     """Raw text after ``label`` at a line start, up to the next label line or the end."""
     marks = "|".join(LABEL_MARKS)
-    pattern = rf"(?dms)^\Q{label}\E\s*(.*?)(?=\n(?:{marks})|\z)"
+    pattern = rf"(?dms)^\Q{label}\E(.*?)(?=\n(?:{marks})|\z)"
     return F.when(
         reply.rlike(rf"(?dm)^\Q{label}\E"), F.regexp_extract(reply, pattern, 1)
     )

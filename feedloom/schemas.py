@@ -1,40 +1,16 @@
-"""Explicit schemas of the tables that flow between the operators."""
+"""Explicit schemas of the tables that flow between the operators, as DDL."""
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-# One landed feed document; body is the raw RSS or Atom text.
-FEED_BODY = _struct("feed_url STRING, feed_rank INT, body STRING")
-
-ITEM = _struct(
+ITEM = (
     "title STRING, link STRING, published TIMESTAMP, summary STRING, source_feed STRING, "
     "id STRING, feed_rank INT, entry_pos BIGINT"
 )
 
-HISTORY = _struct("url STRING, ts TIMESTAMP")
+HISTORY = "url STRING, ts TIMESTAMP"
 
 # What a model answers for one item; the score may arrive as number or text.
-SCORED = _struct(
-    "url STRING, title STRING, source STRING, relevance_score STRING, justification STRING, "
-    "content_type STRING, keywords ARRAY<STRING>"
+SCORED_FIELDS = (
+    "url: STRING, title: STRING, source: STRING, relevance_score: STRING, justification: STRING, "
+    "content_type: STRING, keywords: ARRAY<STRING>"
 )
 
-ENRICHED = _struct(
-    "url STRING, title STRING, type STRING, summary STRING, insight STRING, angle STRING, "
-    "move STRING, source_name STRING"
-)
-
-PRICES = _struct("model STRING, input DOUBLE, output DOUBLE")
-
-USAGE = _struct(
-    "run_id STRING, model STRING, task STRING, prompt_tokens BIGINT, "
-    "candidates_tokens BIGINT, total_tokens BIGINT"
-)
-
-SNAPSHOT = _struct("feed_url STRING, fetched_at TIMESTAMP, status INT, etag STRING")
-
-DIGEST = _struct("profile STRING, run_date DATE, created_at TIMESTAMP, digest_html STRING")
+DIGEST = "profile STRING, run_date DATE, created_at TIMESTAMP, digest_html STRING"

@@ -10,7 +10,7 @@ from feedloom.schemas import DIGEST
 
 def digest_sink(digests: DataFrame, root: str) -> None:
     """Append digests to the archive; running a date again replaces that date only."""
-    digests.select(*DIGEST.fieldNames()).write.mode("overwrite").option(
+    digests.select("profile", "run_date", "created_at", "digest_html").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("run_date").parquet(root)
 

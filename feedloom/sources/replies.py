@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import strip
-from feedloom.schemas import SCORED
+from feedloom.schemas import SCORED_FIELDS
 
 
 def reply_json(reply: Column) -> Column:
@@ -19,7 +19,7 @@ def reply_json(reply: Column) -> Column:
 def _elements(reply: Column) -> Column:
     """Parsed list; NULL unless the reply is one well-formed JSON array."""
     body = reply_json(reply)
-    rows = F.from_json(body, f"array<{SCORED.simpleString()}>")
+    rows = F.from_json(body, f"array<struct<{SCORED_FIELDS}>>")
     # A cut-off array still yields its head here; its length tells it apart.
     return F.when(F.json_array_length(body).isNotNull() & body.startswith("[") & body.endswith("]"), rows)
 
