@@ -41,7 +41,7 @@ def rss_bodies(spark, d):
         "feed_rank", F.concat("source_feed", F.lit("-"), F.floor(F.col("entry_pos") / SPAN).cast("string")).alias("feed_url"),
         F.struct("entry_pos", item.alias("xml")).alias("entry"),
     )
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["xml"]), "\n")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list("entry")), lambda e: e["xml"]), "\n")
     return numbered.groupBy("feed_rank", "feed_url").agg(
         F.concat(F.lit('<?xml version="1.0"?>\n<rss><channel><title>Feed</title>\n'), joined, F.lit("\n<item><title>cut off")).alias("body")
     )
@@ -150,7 +150,7 @@ def scored_replies(spark, d):
     )
     batch = F.floor(F.col("pos") / SPAN)
     grouped = views.scored(spark, d).groupBy("source", batch.alias("batch_no")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", element.alias("json")))).alias("e")
+        F.sort_array(F.collect_list(F.struct("pos", element.alias("json")))).alias("e")
     )
     body = F.concat(F.lit("["), F.array_join(F.transform("e", lambda x: x["json"]), ",\n"), F.lit("]"))
     number = F.substring("source", 4, 9).cast("int") + F.col("batch_no")
@@ -327,7 +327,7 @@ FRAGMENT = f"""concat('<div class=''item''>', chr(10), '<h3>', {sql_escape('titl
 
 @register("item_fragment", with_views("v_enriched", query=f"SELECT run_date, kind, rank, {FRAGMENT} AS fragment FROM v_enriched"))
 def item_fragment(spark, d):
-    return views.enriched(spark, d).select("run_date", "kind", "rank", sections.item_fragment().alias("fragment"))
+    return sections.item_fragment(views.enriched(spark, d)).select("run_date", "kind", "rank", "fragment")
 
 
 _SPOT = " OR ".join(
@@ -355,6 +355,4 @@ SELECT run_date, section, CASE WHEN body IS NULL THEN message
 FROM s LEFT JOIN b USING (run_date, section)"""))
 def digest_collect(spark, d):
     """Digest sections of every date: best items, their analysis, fragments, one text per section."""
-    best = top_news_guides(views.scored(spark, d)).select("run_date", F.col("pos").cast("int").alias("at"), F.col("rank").alias("place"))
-    answers = views.enriched(spark, d).withColumnRenamed("rank", "at")
-    return digest_sections(answers.join(best, ["run_date", "at"]).withColumnRenamed("place", "rank"))
+    return digest_sections(views.answered(top_news_guides(views.scored(spark, d))))

@@ -31,11 +31,7 @@ SELECT pos, trim(replace(summary, '&amp;', '&'), {SPACE}) AS insight,
   CASE WHEN pos % 7 <> 0 THEN concat('A & B', chr(10), chr(10), 'more ', CAST(pos AS VARCHAR)) END AS angle,
   CASE WHEN pos % 5 <> 0 THEN concat('Do ', CAST(pos AS VARCHAR)) END AS move FROM v_scored"""))
 def analysis_fields(spark, d):
-    reply = F.col("reply")
-    return analysis_replies(spark, d).select(
-        "pos", text.analysis_field(reply, text.INSIGHT_LABEL).alias("insight"),
-        text.analysis_field(reply, text.ANGLE_LABEL).alias("angle"), text.analysis_field(reply, text.MOVE_LABEL).alias("move"),
-    )
+    return text.analysis_fields(analysis_replies(spark, d)).select("pos", "insight", "angle", "move")
 
 
 @register("noncommittal_null", """

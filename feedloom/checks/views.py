@@ -126,12 +126,15 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All scored rows as if a model had answered; ``rank`` is their place."""
+    kind = F.when(F.col("content_type").eqNullSafe("Tutorial/Guide"), "guide").otherwise("news")
+    return answered(scored(spark, sf_dir).withColumns({"kind": kind, "rank": F.col("pos").cast("int")}))
+
+
+def answered(chosen: DataFrame) -> DataFrame:
+    """Chosen rows with the fields a model would have filled."""
     pos = F.col("pos")
-    return scored(spark, sf_dir).select(
-        "run_date",
-        F.when(F.col("content_type").eqNullSafe("Tutorial/Guide"), "guide").otherwise("news").alias("kind"),
-        pos.cast("int").alias("rank"),
-        "url", "title",
+    return chosen.select(
+        "run_date", "kind", "rank", "url", "title",
         F.coalesce("content_type", F.lit("News")).alias("type"),
         F.when(pos % 3 != 0, F.col("summary")).alias("summary"),
         F.when(pos % 4 == 0, "Runs on Vertex & <fast>").when(pos % 4 == 1, F.concat(F.lit(" Why: "), "title")).alias("insight"),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions import chain, where_found
 from feedloom.functions.entities import html_unescape
 
 # All characters that count as white space when a text is stripped.
@@ -34,6 +35,9 @@ TAG = r"<[^>]+>"
 OPENING_HTML_FENCE = r"\A```html\s*"
 CLOSING_FENCE = r"```\s*\z"
 
+# Length that takes a text to its end.
+_WHOLE = 2**31 - 1
+
 
 def or_default(value: Column, *others: Column) -> Column:
     """First value that is neither NULL nor empty; the last one is taken as it is."""
@@ -51,21 +55,31 @@ def truncate(value: Column, size: int) -> Column:
     return F.when(F.length(value) > size, short).otherwise(value)
 
 
-def strip_fences(value: Column) -> Column:
+def _without_fences(value: Column) -> Column:
     return F.regexp_replace(value, FENCED_BLOCK, "")
 
 
+def _without_tags(value: Column) -> Column:
+    return F.regexp_replace(value, TAG, "")
+
+
+def strip_fences(value: Column) -> Column:
+    return chain(value, where_found("```", _without_fences))
+
+
 def strip_reply_fence(value: Column) -> Column:
     """Drop a fence that wraps a whole HTML reply."""
     return F.regexp_replace(F.regexp_replace(value, OPENING_HTML_FENCE, ""), CLOSING_FENCE, "")
 
 
 def strip_tags(value: Column) -> Column:
-    return F.regexp_replace(value, TAG, "")
+    return chain(value, where_found("<", _without_tags))
 
 
 def clean_summary(value: Column) -> Column:
-    return strip(html_unescape(strip_tags(strip_fences(strip(value)))))
+    return chain(
+        strip(value), where_found("```", _without_fences), where_found("<", _without_tags), _unescape_strip
+    )
 
 
 def html_escape(value: Column) -> Column:
@@ -84,19 +98,37 @@ def noncommittal_null(value: Column) -> Column:
     return F.when(~F.lower(value).isin(*NON_ANSWERS), value)
 
 
-def labelled_text(reply: Column, label: str) -> Column:
-    """Raw text after ``label`` at a line start, up to the next label line or the end."""
-    marks = "|".join(LABEL_MARKS)
-    pattern = rf"(?dms)^\Q{label}\E(.*?)(?=\n(?:{marks})|\z)"
-    return F.when(
-        reply.rlike(rf"(?dm)^\Q{label}\E"), F.regexp_extract(reply, pattern, 1)
+def label_sections(reply: Column) -> Column:
+    """The reply cut at its label lines."""
+    return F.split(strip(reply), f"\n(?={'|'.join(LABEL_MARKS)})")
+
+
+def section_field(sections: Column, label: str) -> Column:
+    """Text of the first section that starts with ``label``, cleaned.
+
+    NULL when there is none or its answer says nothing. Text before the first
+    label is a section too, so a label inside a line never starts one.
+    """
+    own = F.filter(sections, lambda part: part.startswith(label))
+    return chain(
+        F.get(own, F.lit(0)),
+        lambda part: strip(F.substring(part, len(label) + 1, _WHOLE)),
+        where_found("```", _without_fences),
+        where_found("<", _without_tags),
+        noncommittal_null,
+        _unescape_strip,
     )
 
 
-def analysis_field(reply: Column, label: str) -> Column:
-    """One analysis field; NULL when the label is missing or the answer says nothing."""
-    body = strip_tags(strip_fences(strip(labelled_text(strip(reply), label))))
-    return strip(html_unescape(noncommittal_null(body)))
+def analysis_fields(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """Add insight, angle and move; the reply is cut once for all three."""
+    cut = replies.withColumn("_sections", label_sections(F.col(reply)))
+    labels = {"insight": INSIGHT_LABEL, "angle": ANGLE_LABEL, "move": MOVE_LABEL}
+    return cut.withColumns({n: section_field(F.col("_sections"), l) for n, l in labels.items()}).drop("_sections")
+
+
+def _unescape_strip(value: Column) -> Column:
+    return strip(html_unescape(value))
 
 
 def iso_format(ts: Column) -> Column:

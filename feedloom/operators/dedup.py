@@ -9,7 +9,7 @@ from feedloom.functions.text import strip
 from feedloom.operators.ranking import first_per
 from feedloom.operators.selection import ITEM_IDENTITY, newest_first
 
-_NO_WORD = r"[^\p{L}\p{N}]+"
+_WORD, _NO_WORD = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]+"
 
 
 def normal_title(title: Column) -> Column:
@@ -24,8 +24,8 @@ def title_dedup(items: DataFrame) -> DataFrame:
 
 def word_signature(value: Column) -> Column:
     """Digest of the distinct words, whatever their order, case and punctuation."""
-    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower(value), _NO_WORD), lambda w: w != "")))
-    return F.when(F.size(words) > 0, F.sha2(F.array_join(words, " "), 256))
+    words = F.array_remove(F.array_distinct(F.split(F.lower(value), _NO_WORD)), "")
+    return F.when(value.rlike(_WORD), F.sha2(F.array_join(F.sort_array(words), " "), 256))
 
 
 def near_dup(items: DataFrame) -> DataFrame:

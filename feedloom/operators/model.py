@@ -108,13 +108,7 @@ def analyze_items(
     """Insight, angle and move per item, given its ``snippet``, its summary and the project context."""
     asked = context_cross(summarized, context, prompts.NO_CONTEXT_TEXT).withColumn("prompt", prompts.analysis_prompt())
     answers = model_call(asked, factory, model, "analysis", keys, **call)
-    return answers.withColumns(
-        {
-            "insight": text.analysis_field(F.col("reply"), text.INSIGHT_LABEL),
-            "angle": text.analysis_field(F.col("reply"), text.ANGLE_LABEL),
-            "move": text.analysis_field(F.col("reply"), text.MOVE_LABEL),
-        }
-    )
+    return text.analysis_fields(answers)
 
 
 def generate_tutorial(topics: DataFrame, factory: ModelFactory, model: str, keys: list[str], **call: object) -> DataFrame:

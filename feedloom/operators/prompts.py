@@ -87,7 +87,7 @@ def prompt_items(items: DataFrame, batch: list[str], position: str, size: int) -
         *batch, F.floor(F.col(position) / size).alias("batch_no"), F.col(position).alias("_pos"),
         item_block().alias("_block"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_block")))
+    ordered = F.sort_array(F.collect_list(F.struct("_pos", "_block")))
     return numbered.groupBy(*batch, "batch_no").agg(
         F.array_join(F.transform(ordered, lambda row: row["_block"]), "\n").alias("items_text"),
         F.count(F.lit(1)).alias("n_items"),

@@ -11,7 +11,7 @@ from feedloom.functions import text
 from feedloom.functions.entities import html_unescape
 from feedloom.functions.markup import tutorial_body
 from feedloom.operators.items import in_spotlight, is_action
-from feedloom.operators.selection import market_points
+from feedloom.operators.selection import is_market_point
 
 # Sections in page order and the message of an empty one.
 EMPTY_MESSAGES = {
@@ -42,50 +42,50 @@ def enriched_project(selected: DataFrame) -> DataFrame:
     )
 
 
-def _title() -> Column:
-    return text.html_escape(html_unescape(F.coalesce("title", F.lit(NO_TITLE))))
+def with_fragment_fields(enriched: DataFrame) -> DataFrame:
+    """Add what several fragments of an item share: escaped title and address."""
+    title = text.html_escape(html_unescape(F.coalesce("title", F.lit(NO_TITLE))))
+    return enriched.withColumns({"_title": title, "_address": F.coalesce("url", F.lit(NO_ADDRESS))})
 
 
-def _address() -> Column:
-    return F.coalesce("url", F.lit(NO_ADDRESS))
+def _joined(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def item_fragment() -> Column:
-    """One item as HTML; a line appears only when its field has text."""
+def item_fragment(enriched: DataFrame) -> DataFrame:
+    """Add ``fragment``: one item as HTML; a line appears only when its field has text."""
+    return with_fragment_fields(enriched).withColumn("fragment", _item_fragment()).drop("_title", "_address")
+
+
+def _item_fragment() -> Column:
     lines = []
     for column, label in LINE_LABELS:
         body = text.nbsp_clean(text.html_escape(text.strip(F.col(column))))
-        lines.append(F.when(F.col(column) != "", F.concat(F.lit(f"<p><strong>{label}</strong> "), body, F.lit("</p>"))))
-    return F.concat_ws(
-        "\n",
-        F.lit("<div class='item'>"),
-        F.concat(F.lit("<h3>"), _title(), F.lit("</h3>")),
-        F.concat(
-            F.lit("<p class='source-link'><a href=\""), _address(), F.lit('" target="_blank">'), _address(),
-            F.lit("</a></p>"),
-        ),
-        *lines,
-        F.lit("</div>"),
+        lines.append(F.when(F.col(column) != "", _joined(f"<p><strong>{label}</strong> ", body, "</p>")))
+    address = F.col("_address")
+    head = _joined(
+        "<div class='item'>\n<h3>", F.col("_title"), "</h3>\n<p class='source-link'><a href=\"", address,
+        '" target="_blank">', address, "</a></p>",
     )
+    return F.concat_ws("\n", head, *lines, F.lit("</div>"))
 
 
-def spotlight_fragment() -> Column:
-    return F.concat(
-        F.lit('<li><a href="'), _address(), F.lit('" target="_blank">📰 '), _title(), F.lit("</a></li>")
-    )
+def _spotlight_fragment() -> Column:
+    return _joined('<li><a href="', F.col("_address"), '" target="_blank">📰 ', F.col("_title"), "</a></li>")
 
 
-def market_fragment() -> Column:
-    return F.concat(
-        F.lit("<li>"), text.html_escape(text.strip(F.col("angle"))), F.lit(' &ndash; <a href="'), _address(),
-        F.lit("\" style='font-size: 0.9em; color: #6c757d;'>Source</a></li>"),
+def _market_fragment() -> Column:
+    angle = text.html_escape(text.strip(F.col("angle")))
+    return _joined(
+        "<li>", angle, ' &ndash; <a href="', F.col("_address"),
+        "\" style='font-size: 0.9em; color: #6c757d;'>Source</a></li>",
     )
 
 
-def action_fragment() -> Column:
-    return F.concat(
-        F.lit("<li>"), text.html_escape(text.strip(F.col("move"))), F.lit('<br><em>(Context: <a href="'), _address(),
-        F.lit('">'), _title(), F.lit("</a>)</em></li>"),
+def _action_fragment() -> Column:
+    move = text.html_escape(text.strip(F.col("move")))
+    return _joined(
+        "<li>", move, '<br><em>(Context: <a href="', F.col("_address"), '">', F.col("_title"), "</a>)</em></li>"
     )
 
 
@@ -95,25 +95,19 @@ def digest_rows(enriched: DataFrame, run: Sequence[str] = ("run_date",)) -> Data
     pos = F.struct(F.when(F.col("kind") == "news", 0).otherwise(1).alias("k"), F.col("rank").alias("r"))
     item_section = F.when(F.col("kind") == "news", F.lit("headlines")).otherwise(F.lit("guides"))
 
-    def entry(section: Column, fragment: Column, present: Column | None = None) -> Column:
-        row = F.struct(section.alias("section"), fragment.alias("fragment"))
-        return row if present is None else F.when(present, row)
-
-    direct = enriched.select(
-        *run,
-        pos.alias("pos"),
-        F.explode(
-            F.array(
-                entry(item_section, item_fragment()),
-                entry(F.lit("spotlight"), spotlight_fragment(), in_spotlight()),
-                entry(F.lit("actions"), action_fragment(), is_action()),
-            )
-        ).alias("e"),
-    ).filter("e IS NOT NULL")
-    market = market_points(enriched, run).select(
-        *run, pos.alias("pos"), entry(F.lit("market"), market_fragment()).alias("e")
+    def entry(section: Column, fragment: Column) -> Column:
+        return F.struct(section.alias("section"), fragment.alias("fragment"))
+
+    entries = F.array(
+        entry(item_section, _item_fragment()),
+        F.when(in_spotlight(), entry(F.lit("spotlight"), _spotlight_fragment())),
+        F.when(F.col("_market"), entry(F.lit("market"), _market_fragment())),
+        F.when(is_action(), entry(F.lit("actions"), _action_fragment())),
+    )
+    return (
+        with_fragment_fields(enriched).withColumn("_market", is_market_point(run))
+        .select(*run, pos.alias("pos"), F.inline(F.array_compact(entries)).alias("section", "fragment"))
     )
-    return direct.unionByName(market).select(*run, "e.section", "pos", "e.fragment")
 
 
 def digest_collect(rows: DataFrame, run: Sequence[str] = ("run_date",), runs: DataFrame | None = None) -> DataFrame:
@@ -142,7 +136,7 @@ def digest_collect(rows: DataFrame, run: Sequence[str] = ("run_date",), runs: Da
 
 
 def _section_text(name: str) -> Column:
-    fragments = F.transform(F.array_sort(F.col(name)), lambda row: row["fragment"])
+    fragments = F.transform(F.sort_array(F.col(name)), lambda row: row["fragment"])
     body = F.array_join(fragments, "\n")
     if name in LIST_SECTIONS:
         body = F.concat(F.lit("<ul>\n"), body, F.lit("\n</ul>"))
@@ -163,7 +157,7 @@ def digest_document(sections: DataFrame, run: Sequence[str] = ("run_date",)) ->
     """One text per run: its sections in page order."""
     place = F.array_position(F.array(*[F.lit(n) for n in EMPTY_MESSAGES]), F.col("section")).cast("int")
     block = F.concat(F.lit('<div class="section" id="'), F.col("section"), F.lit('">\n'), F.col("body"), F.lit("\n</div>"))
-    ordered = F.array_sort(F.collect_list(F.struct(place.alias("place"), block.alias("block"))))
+    ordered = F.sort_array(F.collect_list(F.struct(place.alias("place"), block.alias("block"))))
     return sections.groupBy(*run).agg(
         F.array_join(F.transform(ordered, lambda s: s["block"]), "\n").alias("digest_html")
     )

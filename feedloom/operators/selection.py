@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.items import kind_of, score_cast
@@ -71,9 +71,15 @@ def top_news_guides(
 
 def market_points(enriched: DataFrame, run: Sequence[str] = ("run_date",)) -> DataFrame:
     """Items with an angle, one per url within a run, news before guides."""
-    spoken = enriched.filter(F.col("angle") != "")
     key = F.when(F.col("url").isNotNull(), F.to_json(F.struct(*run, "url")))
-    return first_per(spoken, key, news_then_guides(), [*run, "kind", "rank"])
+    return first_per(enriched.filter(F.col("angle") != ""), key, news_then_guides(), [*run, "kind", "rank"])
+
+
+def is_market_point(run: Sequence[str] = ("run_date",)) -> Column:
+    """The same choice as a flag, for the few selected items of a run."""
+    spoken = F.coalesce(F.col("angle") != "", F.lit(False))
+    first = Window.partitionBy(*run, "url").orderBy(spoken.desc(), *news_then_guides())
+    return spoken & (F.col("url").isNull() | (F.row_number().over(first) == 1))
 
 
 def news_then_guides() -> list[Column]:

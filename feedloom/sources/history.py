@@ -31,7 +31,7 @@ def history_load(spark: SparkSession, path: str) -> DataFrame:
 
 def history_json(history: DataFrame) -> DataFrame:
     """The same object for export; one row, for histories of one reader."""
-    pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("url", iso_format(F.col("ts"))))))
+    pairs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("url", iso_format(F.col("ts"))))))
     return history.agg(F.to_json(pairs).alias("value"))
 
 
