@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# RFC-822 shapes: offset or zone name, with or without seconds, short year.
-_RFC822 = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
-    "d MMM yyyy HH:mm Z",
-    "d MMM yyyy HH:mm z",
-    "d MMM yy HH:mm:ss Z",
-    "d MMM yy HH:mm:ss z",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy",
-)
+# RFC-822 shapes behind the weekday: with or without seconds, short year, day only.
+_RFC822 = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "d MMM yy HH:mm:ss Z", "d MMM yyyy Z")
+
+# Zone names of RFC-822. They mean one offset all year, unlike
+# the regions Java reads into them; any other name counts as UTC.
+_ZONES = {
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+_ZONE = r"\s*(?:[A-Za-z]+|[+-][0-9]{2}:?[0-9]{2})$"
 
 
 def parse_pubdate(value: Column) -> Column:
     """RFC-822 or ISO-8601 text to a UTC instant; NULL when it is neither."""
-    bare = F.regexp_replace(F.trim(value), r"^[A-Za-z]{3,9},\s*", "")
-    zoned = F.regexp_replace(bare, r"\s(?:UTC?|Z)$", " GMT")
-    rfc = [F.try_to_timestamp(zoned, F.lit(fmt)) for fmt in _RFC822]
-    iso = F.try_to_timestamp(F.trim(value))
-    # ISO texts start with the year; looking first saves eight failing parses.
-    return F.when(F.trim(value).rlike(r"^[0-9]{4}(?:-|$)"), iso).otherwise(F.coalesce(*rfc))
+    given = F.trim(value)
+    bare = F.regexp_replace(given, r"^[A-Za-z]{3,9},\s*", "")
+    name = F.upper(F.regexp_extract(bare, r"([A-Za-z]+)$", 1))
+    numeric = F.replace(F.regexp_extract(bare, r"([+-][0-9]{2}:?[0-9]{2})$", 1), F.lit(":"), F.lit(""))
+    offset = F.coalesce(F.nullif(numeric, F.lit("")), *[F.when(name == n, o) for n, o in _ZONES.items()], F.lit("+0000"))
+    zoned = F.concat(F.regexp_replace(bare, _ZONE, ""), F.lit(" "), offset)
+    rfc = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(shape)) for shape in _RFC822])
+    # ISO texts start with the year; looking first saves the failing parses.
+    return F.when(given.rlike(r"^[0-9]{4}(?:-|$)"), F.try_to_timestamp(given)).otherwise(rfc)
