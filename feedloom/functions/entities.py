@@ -50,8 +50,8 @@ _NUMBER = f"""CASE
 
 def _lookup(name: str) -> str:
     key = f"concat({_text(_ENTRY)}, {name}, {_text(_IS)})"
-    at = f"locate({key}, {_text(_TABLE)})"
-    value = f"substr({_text(_TABLE)}, {at} + length({name}) + 2, {_LONGEST_VALUE})"
+    at = f"locate({key}, names)"
+    value = f"substr(names, {at} + length({name}) + 2, {_LONGEST_VALUE})"
     return f"CASE WHEN {at} > 0 THEN substring_index({value}, {_text(_ENTRY)}, 1) END"
 
 
@@ -63,8 +63,9 @@ _NAME = f"""coalesce({_lookup('b')}, transform(array({_PREFIX}),
 _RESOLVE = f"""r -> CASE WHEN startswith(r, '&#') THEN transform(array({_CODE}), n -> {_NUMBER})[0]
   ELSE transform(array(substr(r, 2)), b -> {_NAME})[0] END"""
 
-_UNESCAPE = f"""v -> CASE WHEN contains(v, '&') THEN array_join(zip_with(split(v, {_text(REFERENCE)}),
-  transform(regexp_extract_all(v, {_text(REFERENCE)}, 0), {_RESOLVE}), (t, c) -> concat(t, coalesce(c, ''))), '') ELSE v END"""
+_UNESCAPE = f"""v -> CASE WHEN contains(v, '&') THEN transform(array({_text(_TABLE)}), names ->
+  array_join(zip_with(split(v, {_text(REFERENCE)}), transform(regexp_extract_all(v, {_text(REFERENCE)}, 0), {_RESOLVE}),
+    (t, c) -> concat(t, coalesce(c, ''))), ''))[0] ELSE v END"""
 
 
 def html_unescape(value: Column) -> Column:

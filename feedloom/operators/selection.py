@@ -31,14 +31,15 @@ def newest_per_feed(items: DataFrame, limits: DataFrame, default_limit: int, max
     task to that many rows per feed. Limits too large for that are ranked by
     hour instead, with the same result.
     """
-    limited = limit_lookup(items, limits, default_limit)
     if max_limit > group_limit_bound(items):
+        limited = limit_lookup(items, limits, default_limit)
         dateless = F.col("published").isNull()
         part = F.when(dateless, 1).otherwise(0)
         hour = F.floor(-F.unix_seconds("published") / SLOT_SECONDS)
         slot = F.when(dateless, F.floor(F.col("entry_pos") / SLOT_POSITIONS)).otherwise(hour)
         return rank_by_slot(limited, "source_feed", part, slot, newest_first(), F.col("feed_limit"))
-    ranked = top_k(limited.filter("feed_limit > 0"), ["source_feed"], newest_first(), max_limit)
+    # Limits are looked up for the few rows that are left.
+    ranked = limit_lookup(top_k(items, ["source_feed"], newest_first(), max_limit), limits, default_limit)
     return ranked.filter(F.col("rank") <= F.col("feed_limit"))
 
 

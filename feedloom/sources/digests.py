@@ -9,10 +9,12 @@ from feedloom.schemas import DIGEST
 
 
 def digest_sink(digests: DataFrame, root: str) -> None:
-    """Append digests to the archive; running a date again replaces that date only."""
-    digests.select("profile", "run_date", "created_at", "digest_html").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("run_date").parquet(root)
+    """Append digests to the archive, by date.
+
+    Nothing is replaced: profiles of one date are written by different runs, and
+    of a run that was repeated ``latest_digest`` takes the last.
+    """
+    digests.select("profile", "run_date", "created_at", "digest_html").write.mode("append").partitionBy("run_date").parquet(root)
 
 
 def digest_pages(digests: DataFrame, root: str) -> None:

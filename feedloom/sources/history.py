@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import iso_format
 from feedloom.params import utc
 from feedloom.schemas import HISTORY
 
@@ -29,12 +28,6 @@ def history_load(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], HISTORY)
 
 
-def history_json(history: DataFrame) -> DataFrame:
-    """The same object for export; one row, for histories of one reader."""
-    pairs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("url", iso_format(F.col("ts"))))))
-    return history.agg(F.to_json(pairs).alias("value"))
-
-
 def _valid(url: Column) -> Column:
     return url.isNotNull() & (url != "")
 
