@@ -181,7 +181,7 @@ def model_json_rejects(spark, d):
     return replies.model_json_rejects(scored_replies(spark, d), ["feed", "batch_no"]).select("feed", "batch_no")
 
 
-@register("digest_sink", with_views("v_digests", query="SELECT profile, run_date, created_at, digest_html FROM v_digests"))
+@register("digest_sink", with_views("v_digests", query="SELECT profile, run_date, created_at, digest_html FROM v_digests"), day="run_date")
 def digest_sink(spark, d):
     root = fresh_path(spark, "archive")
     digests.digest_sink(views.digests(spark, d), root)
@@ -190,7 +190,7 @@ def digest_sink(spark, d):
 
 @register("latest_digest", with_views("v_digests", query="""
 SELECT profile, run_date, created_at, digest_html FROM v_digests
-QUALIFY row_number() OVER (PARTITION BY profile ORDER BY created_at DESC) = 1 AND digest_html <> ''"""))
+QUALIFY row_number() OVER (PARTITION BY profile ORDER BY created_at DESC) = 1 AND digest_html <> ''"""), day="run_date")
 def latest_digest(spark, d):
     return digests.latest_digest(views.digests(spark, d))
 
@@ -300,7 +300,7 @@ def prompt_render(spark, d):
 
 
 @register("enriched_project", with_views("v_enriched", query="""
-SELECT run_date, kind, rank, url, title, type, summary, insight, angle, move, source_name FROM v_enriched"""))
+SELECT run_date, kind, rank, url, title, type, summary, insight, angle, move, source_name FROM v_enriched"""), day="run_date")
 def enriched_project(spark, d):
     return sections.enriched_project(views.enriched(spark, d))
 
@@ -325,7 +325,7 @@ FRAGMENT = f"""concat('<div class=''item''>', chr(10), '<h3>', {sql_escape('titl
   {', '.join(_line(c, label) for c, label in sections.LINE_LABELS)}, chr(10), '</div>')"""
 
 
-@register("item_fragment", with_views("v_enriched", query=f"SELECT run_date, kind, rank, {FRAGMENT} AS fragment FROM v_enriched"))
+@register("item_fragment", with_views("v_enriched", query=f"SELECT run_date, kind, rank, {FRAGMENT} AS fragment FROM v_enriched"), day="run_date")
 def item_fragment(spark, d):
     return sections.item_fragment(views.enriched(spark, d)).select("run_date", "kind", "rank", "fragment")
 
@@ -352,7 +352,7 @@ _EMPTY = ", ".join(f"({literal(n)}, {literal(m)})" for n, m in sections.EMPTY_ME
  s AS (SELECT * FROM (SELECT DISTINCT run_date FROM e) CROSS JOIN (VALUES {_EMPTY}) AS x(section, message))
 SELECT run_date, section, CASE WHEN body IS NULL THEN message
   WHEN section IN ('spotlight', 'market', 'actions') THEN concat('<ul>', chr(10), body, chr(10), '</ul>') ELSE body END AS body
-FROM s LEFT JOIN b USING (run_date, section)"""))
+FROM s LEFT JOIN b USING (run_date, section)"""), day="run_date")
 def digest_collect(spark, d):
     """Digest sections of every date: best items, their analysis, fragments, one text per section."""
     return digest_sections(views.answered(top_news_guides(views.scored(spark, d))))

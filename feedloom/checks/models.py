@@ -144,7 +144,7 @@ def teacher():
 @register("generate_tutorial", """
 WITH r AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS profile, CAST(ts AS DATE) AS run_date FROM events),
  t AS (SELECT *, (row_number() OVER (PARTITION BY profile ORDER BY run_date) - 1) % 3 AS n FROM r)
-SELECT profile, run_date, CASE n WHEN 0 THEN concat('<p>Use graphs.</p>', chr(10)) WHEN 1 THEN concat('<p>Use retrieval.</p>', chr(10)) END AS tutorial_html FROM t""")
+SELECT profile, run_date, CASE n WHEN 0 THEN concat('<p>Use graphs.</p>', chr(10)) WHEN 1 THEN concat('<p>Use retrieval.</p>', chr(10)) END AS tutorial_html FROM t""", day="run_date")
 def generate_tutorial(spark, d):
     runs = views.table(spark, d, "events").select(F.col("user_id").cast("string").alias("profile"), F.to_date("ts").alias("run_date"))
     made = model.generate_tutorial(topic_rotation(runs, TOPICS), teacher, "large", ["profile", "run_date"], **CALL)

@@ -60,7 +60,7 @@ def keyword_any(spark, d):
 
 
 @register("content_split", with_views("v_scored", query="""
-SELECT pos, run_date, url, CASE WHEN content_type = 'Tutorial/Guide' THEN 'guide' ELSE 'news' END AS kind FROM v_scored"""))
+SELECT pos, run_date, url, CASE WHEN content_type = 'Tutorial/Guide' THEN 'guide' ELSE 'news' END AS kind FROM v_scored"""), day="run_date")
 def content_split(spark, d):
     return items.content_split(views.scored(spark, d)).select("pos", "run_date", "url", "kind")
 
@@ -77,14 +77,14 @@ _SPOT = " OR ".join(
 )
 
 
-@register("spotlight", with_views("v_enriched", query=f"SELECT run_date, kind, rank, url, title FROM v_enriched WHERE {_SPOT}"))
+@register("spotlight", with_views("v_enriched", query=f"SELECT run_date, kind, rank, url, title FROM v_enriched WHERE {_SPOT}"), day="run_date")
 def spotlight(spark, d):
     return items.spotlight(views.enriched(spark, d), SPOTLIGHT).select("run_date", "kind", "rank", "url", "title")
 
 
 @register("action_items", with_views("v_enriched", query=f"""
 SELECT run_date, rank, url, title, trim(move, concat(' ', chr(9), chr(10))) AS move FROM v_enriched
-WHERE kind = 'news' AND move IS NOT NULL AND move <> '' AND move <> '{NO_MOVE}'"""))
+WHERE kind = 'news' AND move IS NOT NULL AND move <> '' AND move <> '{NO_MOVE}'"""), day="run_date")
 def action_items(spark, d):
     return items.action_items(views.enriched(spark, d)).select("run_date", "rank", "url", "title", "move")
 
@@ -113,7 +113,7 @@ TOP = """WITH c AS (SELECT *, CASE WHEN content_type = 'Tutorial/Guide' THEN 'gu
 @register("result_rejoin", with_views("v_enriched", query=TOP + """,
  latest AS (SELECT url, summary, move, rank AS result_pos FROM v_enriched WHERE url IS NOT NULL AND move IS NOT NULL
    QUALIFY row_number() OVER (PARTITION BY url ORDER BY rank DESC) = 1)
-SELECT t.run_date, t.kind, t.rank, t.pos, t.url, l.summary, l.move FROM top t JOIN latest l ON l.url = t.url"""))
+SELECT t.run_date, t.kind, t.rank, t.pos, t.url, l.summary, l.move FROM top t JOIN latest l ON l.url = t.url"""), day="run_date")
 def result_rejoin(spark, d):
     selected = selection.top_news_guides(views.scored(spark, d)).select("run_date", "kind", "rank", "pos", "url")
     # Rows without a move stand for items whose call failed.
@@ -121,6 +121,14 @@ def result_rejoin(spark, d):
     return joins.result_rejoin(selected, results.select("url", "summary", "move", F.col("rank").alias("result_pos")))
 
 
+@register("item_rejoin", with_views("v_items", "v_scored", query="""
+WITH o AS (SELECT link, title, summary FROM v_items WHERE link IS NOT NULL QUALIFY row_number() OVER (PARTITION BY link ORDER BY feed_rank, entry_pos) = 1)
+SELECT s.pos, s.url, coalesce(o.title, concat('echo ', s.title)) AS title, o.summary FROM v_scored s LEFT JOIN o ON o.link = s.url"""))
+def item_rejoin(spark, d):
+    echoed = views.scored(spark, d).select("pos", "url", F.concat(F.lit("echo "), "title").alias("title"))
+    return joins.item_rejoin(echoed, views.items(spark, d)).select("pos", "url", "title", "summary")
+
+
 @register("price_lookup", with_views("v_usage", "v_prices", query="""
 SELECT u.run_id, count(*) AS calls, max(p.model) AS model, max(p.input) AS input, max(p.output) AS output
 FROM v_usage u CROSS JOIN (SELECT * FROM v_prices WHERE model = 'large') p GROUP BY u.run_id"""))
@@ -200,7 +208,7 @@ def cost_by_model(spark, d):
 
 
 @register("overview_counts", with_views("v_scored", query=TOP + """
-SELECT run_date, count(*) FILTER (WHERE kind = 'news') AS news, count(*) FILTER (WHERE kind = 'guide') AS guides FROM top GROUP BY run_date"""))
+SELECT run_date, count(*) FILTER (WHERE kind = 'news') AS news, count(*) FILTER (WHERE kind = 'guide') AS guides FROM top GROUP BY run_date"""), day="run_date")
 def overview_counts(spark, d):
     return counts.overview_counts(selection.top_news_guides(views.scored(spark, d)))
 
@@ -238,7 +246,7 @@ def score_cast(spark, d):
     return views.scored(spark, d).select("pos", "relevance_score", items.score_cast(F.col("relevance_score")).alias("score"))
 
 
-@register("top_news_guides", with_views("v_scored", query=TOP + " SELECT run_date, kind, rank, pos, score, url, title FROM top"))
+@register("top_news_guides", with_views("v_scored", query=TOP + " SELECT run_date, kind, rank, pos, score, url, title FROM top"), day="run_date")
 def top_news_guides(spark, d):
     return selection.top_news_guides(views.scored(spark, d)).select("run_date", "kind", "rank", "pos", "score", "url", "title")
 
@@ -246,7 +254,7 @@ def top_news_guides(spark, d):
 @register("market_points", with_views("v_enriched", query="""
 SELECT run_date, kind, rank, url, angle FROM (SELECT *, CASE WHEN url IS NULL THEN 1 ELSE row_number() OVER (
    PARTITION BY run_date, url ORDER BY CASE kind WHEN 'news' THEN 0 ELSE 1 END, rank) END AS n
-  FROM v_enriched WHERE angle IS NOT NULL AND angle <> '') WHERE n = 1"""))
+  FROM v_enriched WHERE angle IS NOT NULL AND angle <> '') WHERE n = 1"""), day="run_date")
 def market_points(spark, d):
     return selection.market_points(views.enriched(spark, d)).select("run_date", "kind", "rank", "url", "angle")
 
@@ -310,7 +318,7 @@ def feeds_unions(spark, d):
 
 
 @register("digest_items_union", with_views("v_scored", query=TOP + """
-SELECT run_date, kind, pos, url, CAST(row_number() OVER (PARTITION BY run_date ORDER BY kind DESC, rank) AS INT) AS place FROM top"""))
+SELECT run_date, kind, pos, url, CAST(row_number() OVER (PARTITION BY run_date ORDER BY kind DESC, rank) AS INT) AS place FROM top"""), day="run_date")
 def digest_items_union(spark, d):
     best = selection.top_news_guides(views.scored(spark, d))
     news, guides = best.filter("kind = 'news'"), best.filter("kind = 'guide'")

@@ -47,7 +47,7 @@ def stream_late(spark, d):
 @register("stream_daily", """
 WITH l AS (SELECT ts + INTERVAL '1' HOUR AS local, event_type FROM events),
  d AS (SELECT CAST(local - INTERVAL '6' HOUR AS DATE) AS digest_day, event_type, count(*) AS items FROM l GROUP BY 1, 2)
-SELECT * FROM d WHERE digest_day + INTERVAL '1' DAY + INTERVAL '6' HOUR <= (SELECT max(local) FROM l) - INTERVAL '1' DAY""")
+SELECT * FROM d WHERE digest_day + INTERVAL '1' DAY + INTERVAL '6' HOUR <= (SELECT max(local) FROM l) - INTERVAL '1' DAY""", day="digest_day")
 def stream_daily(spark, d):
     events = views.arriving(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
     days = feeds.stream_daily(events, ["event_type"])

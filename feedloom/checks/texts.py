@@ -168,7 +168,7 @@ TOPICS = ("graphs", "retrieval", "agents")
 @register("topic_rotation", """
 WITH r AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS profile, CAST(ts AS DATE) AS run_date FROM events)
 SELECT profile, run_date, CASE (row_number() OVER (PARTITION BY profile ORDER BY run_date) - 1) % 3
-  WHEN 0 THEN 'graphs' WHEN 1 THEN 'retrieval' ELSE 'agents' END AS topic FROM r""")
+  WHEN 0 THEN 'graphs' WHEN 1 THEN 'retrieval' ELSE 'agents' END AS topic FROM r""", day="run_date")
 def topic_rotations(spark, d):
     runs = views.table(spark, d, "events").select(F.col("user_id").cast("string").alias("profile"), F.to_date("ts").alias("run_date"))
     return topic_rotation(runs, TOPICS)

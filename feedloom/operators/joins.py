@@ -68,6 +68,20 @@ def result_rejoin(selected: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def item_rejoin(scored: DataFrame, items: DataFrame) -> DataFrame:
+    """Put the feed's own title and summary back beside a model's echo of the url.
+
+    Rows whose url no item has keep the echoed title.
+    """
+    own = items.groupBy(F.col("link").alias("url")).agg(
+        F.min_by(F.struct("title", "summary"), F.struct("feed_rank", "entry_pos")).alias("_own")
+    )
+    kept = [c for c in scored.columns if c not in ("title", "summary")]
+    return scored.join(own, "url", "left").select(
+        *kept, F.coalesce("_own.title", "title").alias("title"), F.col("_own.summary").alias("summary")
+    )
+
+
 def price_lookup(prices: DataFrame, preferred: str, fallback: str) -> DataFrame:
     """One row with the price of the first model that has one; no row when none has."""
     wanted = prices.filter(F.col("model").isin(preferred, fallback))
