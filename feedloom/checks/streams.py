@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from feedloom.checks import views
 from feedloom.checks.ingest import CUTOFF, FEED_SQL, UPSERT, rss_bodies
-from feedloom.checks.registry import register
+from feedloom.checks.registry import ORACLES, register
 from feedloom.checks.rules import ITEM, ITEM_COLUMNS, RECENT
 from feedloom.checks.views import NOW, with_views
 from feedloom.schemas import ITEM as ITEM_SCHEMA
 from feedloom.sources.feeds import write_bodies
-from feedloom.sources.history import HistoryStore
+from feedloom.sources.history import HistoryLog, HistoryStore
 from feedloom.storage import fresh_path
 from feedloom.streaming import feeds
 
@@ -43,6 +43,16 @@ def stream_late(spark, d):
     return spark.read.schema(kept.schema).parquet(feeds.run_available(kept, "stream-late"))
 
 
+@register("stream_prefilter", ORACLES["prefilter"])
+def stream_prefilter(spark, d):
+    root = fresh_path(spark, "candidates")
+    used = views.history(spark, d)
+    write = feeds.stream_prefilter(root, lambda: used, views.limits(spark), views.skip(spark), views.PARAMS)
+    feeds.run_available(arriving_items(spark, d), "stream-prefilter", write)
+    kept = spark.read.schema(f"{ITEM_SCHEMA}, rank INT, batch_id BIGINT").parquet(root)
+    return kept.select("entry_pos", "source_feed", "link", "title", "published", "id", "rank")
+
+
 # In January the wall clock in Paris is one hour ahead of UTC.
 @register("stream_daily", """
 WITH l AS (SELECT ts + INTERVAL '1' HOUR AS local, event_type FROM events),
@@ -54,6 +64,17 @@ def stream_daily(spark, d):
     return spark.read.schema(days.schema).parquet(feeds.run_available(days, "stream-daily"))
 
 
+@register("history_log", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, max(ts) AS ts FROM m WHERE ts >= {CUTOFF} GROUP BY url"))
+def history_log(spark, d):
+    """The same upsert on the append-only history: old uses by day, then this run's."""
+    log = HistoryLog(spark, fresh_path(spark, "history-log"))
+    old = views.history(spark, d).withColumn("used_date", F.to_date("ts"))
+    old.write.partitionBy("used_date").parquet(log._root)
+    good = views.table(spark, d, "labels").filter("quality = 1")
+    log.upsert(views.items(spark, d).join(good, F.col("entry_pos") == F.col("doc_id")).select(F.col("link").alias("url")), NOW)
+    return log.read(NOW).groupBy("url").agg(F.max("ts").alias("ts"))
+
+
 @register("stream_history_ttl", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, ts FROM m WHERE ts >= {CUTOFF}"))
 def stream_history_ttl(spark, d):
     store = HistoryStore(spark, fresh_path(spark, "history"))

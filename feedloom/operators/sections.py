@@ -42,6 +42,9 @@ def enriched_project(selected: DataFrame) -> DataFrame:
     )
 
 
+# The fragments below have fixed formats.
+
+
 def with_fragment_fields(enriched: DataFrame) -> DataFrame:
     """Add what several fragments of an item share: escaped title and address."""
     title = text.html_escape(html_unescape(F.coalesce("title", F.lit(NO_TITLE))))

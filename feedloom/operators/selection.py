@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.items import kind_of, score_cast
 from feedloom.operators.joins import limit_lookup
-from feedloom.operators.ranking import first_per, group_limit_bound, rank_by_slot, top_k
+from feedloom.operators.ranking import SALTS, first_per, group_limit_bound, rank_by_slot, top_k
 from feedloom.params import NO_LINK
 
 SLOT_SECONDS = 3600
@@ -23,13 +23,16 @@ def newest_first() -> list[Column]:
     return [F.col("published").desc_nulls_last(), F.col("entry_pos").asc()]
 
 
-def newest_per_feed(items: DataFrame, limits: DataFrame, default_limit: int, max_limit: int) -> DataFrame:
+def newest_per_feed(
+    items: DataFrame, limits: DataFrame, default_limit: int, max_limit: int, salts: int = SALTS
+) -> DataFrame:
     """The newest items of each feed up to its limit, with their ``rank`` in it.
 
     Dateless items come last, equal dates keep the feed's order. ``max_limit``
     is the largest limit in force; as a literal it lets Spark cut every map
     task to that many rows per feed. Limits too large for that are ranked by
-    hour instead, with the same result.
+    hour instead, with the same result. With very many small feeds the salted
+    round saves nothing; ``salts=1`` leaves it out.
     """
     if max_limit > group_limit_bound(items):
         limited = limit_lookup(items, limits, default_limit)
@@ -39,7 +42,7 @@ def newest_per_feed(items: DataFrame, limits: DataFrame, default_limit: int, max
         slot = F.when(dateless, F.floor(F.col("entry_pos") / SLOT_POSITIONS)).otherwise(hour)
         return rank_by_slot(limited, "source_feed", part, slot, newest_first(), F.col("feed_limit"))
     # Limits are looked up for the few rows that are left.
-    ranked = limit_lookup(top_k(items, ["source_feed"], newest_first(), max_limit), limits, default_limit)
+    ranked = limit_lookup(top_k(items, ["source_feed"], newest_first(), max_limit, salts=salts), limits, default_limit)
     return ranked.filter(F.col("rank") <= F.col("feed_limit"))
 
 
@@ -55,7 +58,7 @@ def first_by_id(items: DataFrame) -> DataFrame:
 
 
 def top_news_guides(
-    scored: DataFrame, num_news: int = 7, num_guides: int = 5, run: Sequence[str] = ("run_date",)
+    scored: DataFrame, num_news: int = 7, num_guides: int = 5, run: Sequence[str] = ("run_date",), salts: int = SALTS
 ) -> DataFrame:
     """Best news and best guides of each run; equal scores keep reply order.
 
@@ -65,7 +68,7 @@ def top_news_guides(
         "score", score_cast(F.col("relevance_score"))
     )
     order = [F.col("score").desc(), F.col("pos").asc()]
-    best = top_k(graded, [*run, "kind"], order, max(num_news, num_guides))
+    best = top_k(graded, [*run, "kind"], order, max(num_news, num_guides), salts=salts)
     wanted = F.when(F.col("kind") == "news", num_news).otherwise(num_guides)
     return best.filter(F.col("rank") <= wanted)
 

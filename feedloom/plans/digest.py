@@ -14,7 +14,7 @@ from feedloom.operators.selection import top_news_guides
 from feedloom.params import RunParams
 from feedloom.plans.prefilter import prefilter
 from feedloom.sources.digests import digest_sink
-from feedloom.sources.history import HistoryStore
+from feedloom.sources.history import HistoryLog, HistoryStore
 from feedloom.sources.topics import topic_rotation
 from feedloom.storage import materialize
 
@@ -46,7 +46,7 @@ def digests_of(
 
 
 def daily_run(
-    items: DataFrame, limits: DataFrame, skip: DataFrame, context: DataFrame, history: HistoryStore, params: RunParams,
+    items: DataFrame, limits: DataFrame, skip: DataFrame, context: DataFrame, history: HistoryStore | HistoryLog, params: RunParams,
     factory: ModelFactory, models: dict[str, str], reader: str, topics: Sequence[str], profile: str, archive: str,
     **call: object,
 ) -> DataFrame:
@@ -59,7 +59,7 @@ def daily_run(
     """
     spark = items.sparkSession
     run = ["profile", "run_date"]
-    candidates = materialize(prefilter(items, history.read(), limits, skip, params), "candidates")
+    candidates = materialize(prefilter(items, history.read(params.now, params.history_days), limits, skip, params), "candidates")
     scored, answers = score_and_tag(
         candidates, factory, models["filter"], reader, ["source_feed"], "rank", **call
     )

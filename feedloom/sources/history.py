@@ -56,8 +56,38 @@ def history_counts(history: DataFrame, used: DataFrame, now: dt.datetime, days:
     )
 
 
+class HistoryLog:
+    """History as an append-only table by day of use, for many urls.
+
+    A run adds its own urls and rewrites nothing; days before the window are
+    not opened, so they expire by themselves. A replayed append repeats rows,
+    which no reader minds: what counts is whether a url was used, and when last.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root.rstrip("/")
+
+    def read(self, now: dt.datetime, days: int = 7) -> DataFrame:
+        """Uses inside the window, possibly several per url."""
+        try:
+            log = self._spark.read.schema(f"{HISTORY}, used_date DATE").parquet(self._root)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self._spark.createDataFrame([], HISTORY)
+        cutoff = utc(now) - dt.timedelta(days=days)
+        return log.filter((F.col("used_date") >= F.lit(cutoff.date())) & (F.col("ts") >= F.lit(cutoff))).select("url", "ts")
+
+    def upsert(self, used: DataFrame, now: dt.datetime, days: int = 7) -> None:
+        moment = utc(now).astimezone(dt.timezone.utc)
+        fresh = used.filter(_valid(F.col("url"))).select("url").distinct()
+        fresh.select("url", F.lit(moment).alias("ts"), F.lit(moment.date()).alias("used_date")).write.mode("append").partitionBy(
+            "used_date"
+        ).parquet(self._root)
+
+
 class HistoryStore:
-    """History as numbered Parquet versions.
+    """History as numbered Parquet versions, one row per url.
 
     A version is written whole into its own folder and counts only once the
     commit log names it, so a reader never sees half of one and a failed run
@@ -81,7 +111,8 @@ class HistoryStore:
             return 0
         return log.agg(F.max("version")).first()[0] or 0
 
-    def read(self) -> DataFrame:
+    def read(self, now: dt.datetime | None = None, days: int = 7) -> DataFrame:
+        """The version in force; it was pruned when it was written."""
         version = self.version()
         if version == 0:
             return self._spark.createDataFrame([], HISTORY)

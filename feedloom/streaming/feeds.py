@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.joins import link_key
+from feedloom.params import RunParams
+from feedloom.plans.prefilter import prefilter
 from feedloom.sources.feeds import feed_scan, read_bodies
-from feedloom.sources.history import HistoryStore
+from feedloom.sources.history import HistoryLog, HistoryStore
 from feedloom.storage import fresh_path
 
 
@@ -79,8 +81,25 @@ def run_available(stream: DataFrame, name: str, write: Callable[[DataFrame, int]
     return f"{base}/rows"
 
 
+def stream_prefilter(
+    root: str, history: Callable[[], DataFrame], limits: DataFrame, skip: DataFrame, params: RunParams
+) -> Callable[[DataFrame, int], None]:
+    """Batch writer that puts the candidates of every micro-batch under ``root``.
+
+    Limits and the dedup across feeds hold within a micro-batch, as they hold
+    within a run; ``history`` is read anew for each. A replayed batch replaces
+    its own folder.
+    """
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        kept = prefilter(batch, history(), limits, skip, params)
+        kept.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    return commit
+
+
 def stream_history(
-    store: HistoryStore, clock: Callable[[DataFrame], dt.datetime], days: int = 7
+    store: HistoryStore | HistoryLog, clock: Callable[[DataFrame], dt.datetime], days: int = 7
 ) -> Callable[[DataFrame, int], None]:
     """Batch writer that commits used urls to the history; ``clock`` gives a batch its now.
 

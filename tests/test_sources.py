@@ -103,6 +103,19 @@ def test_history_store(spark, frame, tmp_path):
     assert {"next", "daily"} <= {r.url for r in store.read().collect()} and store.read().filter("url = 'half'").isEmpty()
 
 
+def test_history_log(spark, frame, tmp_path):
+    log = history.HistoryLog(spark, str(tmp_path / "log"))
+    assert log.read(NOW).count() == 0
+    for day in range(10):
+        log.upsert(frame([(f"u{day}",), ("daily",), (None,), ("",), ("daily",)], "url STRING"), NOW + dt.timedelta(days=day))
+    last = NOW + dt.timedelta(days=9)
+    urls = sorted(r.url for r in log.read(last).collect())
+    assert urls == sorted([*["daily"] * 8, *[f"u{d}" for d in range(2, 10)]])
+    assert "PartitionFilters: [isnotnull(used_date" in log.read(last)._jdf.queryExecution().executedPlan().toString()
+    log.upsert(frame([("daily",)], "url STRING"), last)  # replayed
+    assert {r.url for r in log.read(last).collect()} == set(urls)
+
+
 def test_context(spark, tmp_path):
     path = tmp_path / "context.md"
     assert context_load(spark, str(path)).first().context == PLACEHOLDER_CONTEXT
