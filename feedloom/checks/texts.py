@@ -82,7 +82,8 @@ def html_escape(spark, d):
 
 
 @register("html_unescape", """
-SELECT page_id, replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS plain FROM pages""")
+SELECT page_id, regexp_replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS plain
+FROM pages""")
 def html_unescape(spark, d):
     return views.table(spark, d, "pages").select("page_id", entities.html_unescape(F.col("html")).alias("plain"))
 

@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Length that takes a text to its end.
+WHOLE = 2**31 - 1
+
+
 def where_found(mark: str, step: Callable[[Column], Column]) -> Callable[[Column], Column]:
     """The step, for texts that hold ``mark``; a byte search spares the others a regex."""
     return lambda held: F.when(held.contains(mark), step(held)).otherwise(held)

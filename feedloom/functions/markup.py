@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.functions import chain
 from feedloom.functions.entities import html_unescape
 from feedloom.functions.text import strip, strip_reply_fence, strip_tags
 
@@ -21,19 +22,23 @@ def heading_topic(html: Column, level: str = "h2", mark: str = TUTORIAL_MARK) ->
     """Topic after the marker, else the first heading, else a fixed answer."""
     marked = rf"(?is)<{level}[^>]*>.*?\Q{mark}\E\s*(.*?)</{level}>"
     plain = rf"(?is)<{level}[^>]*>(.*?)</{level}>"
-    return (
-        F.when(html.isNull() | (html == ""), F.lit(NO_TUTORIAL))
-        .when(html.rlike(marked), strip(F.regexp_extract(html, marked, 1)))
-        .when(html.rlike(plain), strip(F.regexp_extract(html, plain, 1)))
-        .otherwise(F.lit(UNKNOWN_TOPIC))
-    )
+
+    def topic(page: Column) -> Column:
+        return (
+            F.when(page.isNull() | (page == ""), F.lit(NO_TUTORIAL))
+            .when(page.rlike(marked), strip(F.regexp_extract(page, marked, 1)))
+            .when(page.rlike(plain), strip(F.regexp_extract(page, plain, 1)))
+            .otherwise(F.lit(UNKNOWN_TOPIC))
+        )
+
+    return chain(html, topic)
 
 
 def labelled_paragraph(html: Column, label: str) -> Column:
     """Plain text of ``<p><strong>label:</strong> ...</p>``; NULL when there is none."""
     pattern = rf"(?is)<p><strong>\Q{label}\E:</strong>\s*(.*?)\s*</p>"
-    text = strip_tags(html_unescape(strip(F.regexp_extract(html, pattern, 1))))
-    return F.when(html.rlike(pattern), text)
+    found = chain(html, lambda page: F.when(page.rlike(pattern), F.regexp_extract(page, pattern, 1)))
+    return strip_tags(html_unescape(strip(found)))
 
 
 def heading_remove(html: Column, mark: str = TUTORIAL_MARK) -> Column:

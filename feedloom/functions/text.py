@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.functions import chain, where_found
+from feedloom.functions import WHOLE, chain, where_found
 from feedloom.functions.entities import html_unescape
 
 # All characters that count as white space when a text is stripped.
@@ -35,9 +35,6 @@ TAG = r"<[^>]+>"
 OPENING_HTML_FENCE = r"\A```html\s*"
 CLOSING_FENCE = r"```\s*\z"
 
-# Length that takes a text to its end.
-_WHOLE = 2**31 - 1
-
 
 def or_default(value: Column, *others: Column) -> Column:
     """First value that is neither NULL nor empty; the last one is taken as it is."""
@@ -112,7 +109,7 @@ def section_field(sections: Column, label: str) -> Column:
     own = F.filter(sections, lambda part: part.startswith(label))
     return chain(
         F.get(own, F.lit(0)),
-        lambda part: strip(F.substring(part, len(label) + 1, _WHOLE)),
+        lambda part: strip(F.substring(part, len(label) + 1, WHOLE)),
         where_found("```", _without_fences),
         where_found("<", _without_tags),
         noncommittal_null,
