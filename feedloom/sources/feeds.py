@@ -52,15 +52,13 @@ def feed_scan(bodies: DataFrame) -> DataFrame:
 
 
 def feed_entries(bodies: DataFrame) -> DataFrame:
-    piece = F.regexp_replace("piece", _FOREIGN_REFERENCE, "&amp;")
-    parsed = (
-        bodies.select(
-            F.col("feed_url").alias("source_feed"), "feed_rank",
-            F.posexplode(_pieces(F.col("body"))).alias("entry_pos", "piece"),
-        )
-        .withColumn("e", F.from_xml(piece, _ENTRY))
-        .filter("e IS NOT NULL AND e._corrupt_record IS NULL")
+    # Parsed before they are exploded: a filter on a parsed column would parse again.
+    entries = F.transform(
+        _pieces(F.col("body")), lambda piece: F.from_xml(F.regexp_replace(piece, _FOREIGN_REFERENCE, "&amp;"), _ENTRY)
     )
+    parsed = bodies.select(
+        F.col("feed_url").alias("source_feed"), "feed_rank", F.posexplode(entries).alias("entry_pos", "e")
+    ).filter("e IS NOT NULL AND e._corrupt_record IS NULL")
     guid = strip(F.col("e.guid._VALUE"))
     permalink = F.when(F.coalesce(F.lower("e.guid._isPermaLink"), F.lit("true")) != "false", guid)
     return parsed.select(
