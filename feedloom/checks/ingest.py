@@ -140,6 +140,10 @@ def context_load(spark, d):
     return context.context_parse(spark.read.schema("value STRING, role STRING").option("lineSep", "\x1e").text(path))
 
 
+# The feed whose replies are cut off.
+CUT_FEED = "src4"
+
+
 def scored_replies(spark, d):
     """Scored rows as model replies of 50 elements: tagged, fenced, plain or cut off."""
     element = F.to_json(
@@ -154,8 +158,9 @@ def scored_replies(spark, d):
     )
     body = F.concat(F.lit("["), F.array_join(F.transform("e", lambda x: x["json"]), ",\n"), F.lit("]"))
     number = F.substring("source", 4, 9).cast("int") + F.col("batch_no")
+    cut_off = F.col("source") == CUT_FEED
     reply = (
-        F.when(number % 11 == 0, F.substring(body, 1, 300))
+        F.when(cut_off, F.substring(body, 1, 300))
         .when(number % 3 == 0, F.concat(F.lit("\n```json\n"), body, F.lit("\n```\n")))
         .when(number % 3 == 1, F.concat(F.lit("```JSON "), body, F.lit("``` ")))
         .otherwise(body)
@@ -163,20 +168,17 @@ def scored_replies(spark, d):
     return grouped.select(F.col("source").alias("feed"), "batch_no", reply.alias("reply"))
 
 
-_NUMBER = f"(CAST(substr(source, 4) AS INT) + CAST(floor(pos / {SPAN}.0) AS INT))"
-
-
 @register("model_json_scan", with_views("v_scored", query=f"""
 SELECT source AS feed, CAST(row_number() OVER (PARTITION BY source, floor(pos / {SPAN}.0) ORDER BY pos) - 1 AS INT) AS pos, url,
   concat('Doc "', CAST(pos AS VARCHAR), '"') AS title, relevance_score, content_type, 'a,b' AS keywords
-FROM v_scored WHERE {_NUMBER} % 11 <> 0"""))
+FROM v_scored WHERE source <> '{CUT_FEED}'"""))
 def model_json_scan(spark, d):
     rows = replies.model_json_scan(scored_replies(spark, d), ["feed", "batch_no"])
     return rows.select("feed", "pos", "url", "title", "relevance_score", "content_type", F.array_join("keywords", ",").alias("keywords"))
 
 
 @register("model_json_rejects", with_views("v_scored", query=f"""
-SELECT DISTINCT source AS feed, CAST(floor(pos / {SPAN}.0) AS BIGINT) AS batch_no FROM v_scored WHERE {_NUMBER} % 11 = 0"""))
+SELECT DISTINCT source AS feed, CAST(floor(pos / {SPAN}.0) AS BIGINT) AS batch_no FROM v_scored WHERE source = '{CUT_FEED}'"""))
 def model_json_rejects(spark, d):
     return replies.model_json_rejects(scored_replies(spark, d), ["feed", "batch_no"]).select("feed", "batch_no")
 

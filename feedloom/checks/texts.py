@@ -95,7 +95,7 @@ def nbsp_clean(spark, d):
     return views.table(spark, d, "documents").select("doc_id", text.nbsp_clean(raw).alias("clean"))
 
 
-TOPIC = "CASE WHEN entry_pos % 23 = 0 THEN 'N/A' WHEN entry_pos % 5 = 0 THEN 'Unknown Topic' ELSE concat('Topic ', CAST(entry_pos AS VARCHAR)) END"
+TOPIC = "CASE WHEN title = '' THEN 'N/A' WHEN entry_pos % 5 = 0 THEN 'Unknown Topic' ELSE concat('Topic ', CAST(entry_pos AS VARCHAR)) END"
 
 
 @register("heading_topic", with_views("v_items", query=f"SELECT entry_pos, {TOPIC} AS topic FROM v_items"))
@@ -111,7 +111,7 @@ def page_heading(spark, d):
 
 
 @register("labelled_paragraph", with_views("v_items", query="""
-SELECT entry_pos, CASE WHEN entry_pos % 23 <> 0 THEN concat('Learn item ', CAST(entry_pos AS VARCHAR), ' & more') END AS objective,
+SELECT entry_pos, CASE WHEN title <> '' THEN concat('Learn item ', CAST(entry_pos AS VARCHAR), ' & more') END AS objective,
   CAST(NULL AS VARCHAR) AS absent FROM v_items"""))
 def labelled_paragraph(spark, d):
     html = F.col("html")
@@ -125,21 +125,21 @@ HTML = """concat(CASE WHEN entry_pos % 3 = 0 THEN concat('```html', chr(10)) ELS
   CASE WHEN entry_pos % 5 = 1 THEN concat('<h2>Topic ', CAST(entry_pos AS VARCHAR), ' </h2>') ELSE '' END,
   '<p><strong>Objective:</strong> Learn <em>item</em> ', CAST(entry_pos AS VARCHAR), ' &amp; more </p>',
   '<pre><code class="language-python">', chr(10), 'print(', CAST(entry_pos AS VARCHAR), ')', chr(10), '</code></pre>',
-  CASE WHEN entry_pos % 2 = 0 THEN concat('<div class="codehilite"><pre><code class="language-python">x = 1', chr(10), 'y = ',
+  CASE WHEN feed_rank < 10 THEN concat('<div class="codehilite"><pre><code class="language-python">x = 1', chr(10), 'y = ',
     CAST(entry_pos AS VARCHAR), '</code></pre></div>') ELSE '' END,
   '<pre>', replace(summary, '<', ' '), '</pre>', CASE WHEN entry_pos % 3 = 0 THEN concat(chr(10), '```') ELSE '' END)"""
 
 
 @register("heading_remove", with_views("v_items", query=f"""
-SELECT entry_pos, CASE WHEN entry_pos % 23 <> 0 THEN {HTML} END AS html FROM v_items"""))
+SELECT entry_pos, CASE WHEN title <> '' THEN {HTML} END AS html FROM v_items"""))
 def heading_remove(spark, d):
     return views.tutorials(spark, d).select("entry_pos", markup.heading_remove(F.col("html")).alias("html"))
 
 
 @register("code_blocks", with_views("v_items", query="""
-SELECT entry_pos, 0 AS block, concat('print(', CAST(entry_pos AS VARCHAR), ')') AS code FROM v_items WHERE entry_pos % 23 <> 0
+SELECT entry_pos, 0 AS block, concat('print(', CAST(entry_pos AS VARCHAR), ')') AS code FROM v_items WHERE title <> ''
 UNION ALL SELECT entry_pos, 1, concat('x = 1', chr(10), 'y = ', CAST(entry_pos AS VARCHAR)) FROM v_items
-WHERE entry_pos % 23 <> 0 AND entry_pos % 2 = 0"""))
+WHERE title <> '' AND feed_rank < 10"""))
 def code_blocks(spark, d):
     return views.tutorials(spark, d).select("entry_pos", F.posexplode(markup.code_blocks(F.col("html"))).alias("block", "code"))
 

@@ -73,13 +73,10 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link is in it; those of every seventh item are young enough to matter."""
     pos = F.col("doc_id")
     days = F.when(pos % 7 == 0, F.floor((pos % 98) / 7)).otherwise(8 + pos % 30)
-    return (
-        table(spark, sf_dir, "documents").filter(pos % 29 != 0)
-        .select(
-            F.concat(F.lit(LINK), _text(pos - pos % 2)).alias("url"),
-            (F.lit(NOW) - F.make_dt_interval(days.cast("int"))).alias("ts"),
-        )
-    )
+    url = F.when(pos % 29 != 0, F.concat(F.lit(LINK), _text(pos - pos % 2)))
+    return table(spark, sf_dir, "documents").select(
+        url.alias("url"), (F.lit(NOW) - F.make_dt_interval(days.cast("int"))).alias("ts")
+    ).filter("url IS NOT NULL")
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +182,7 @@ def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tutorials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as generated tutorials, some fenced, some without marker or listing."""
+    """Documents as generated tutorials, some fenced, some without marker; none without a title."""
     pos = F.col("entry_pos")
     body = F.concat(
         F.when(pos % 3 == 0, "```html\n").otherwise(""),
@@ -195,14 +192,14 @@ def tutorials(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit("<p><strong>Objective:</strong> Learn <em>item</em> "), _text(pos), F.lit(" &amp; more </p>"),
         F.lit('<pre><code class="language-python">\nprint('), _text(pos), F.lit(")\n</code></pre>"),
-        F.when(pos % 2 == 0, F.concat(
+        F.when(F.col("feed_rank") < 10, F.concat(
             F.lit('<div class="codehilite"><pre><code class="language-python">x = 1\ny = '), _text(pos),
             F.lit("</code></pre></div>"),
         )).otherwise(""),
         F.lit("<pre>"), F.replace("summary", F.lit("<"), F.lit(" ")), F.lit("</pre>"),
         F.when(pos % 3 == 0, "\n```\n").otherwise(""),
     )
-    return items(spark, sf_dir).select("entry_pos", "source_feed", F.when(pos % 23 != 0, body).alias("html"))
+    return items(spark, sf_dir).select("entry_pos", "source_feed", F.when(F.col("title") != "", body).alias("html"))
 
 
 # The same views in SQL: name -> (views it needs, text).
