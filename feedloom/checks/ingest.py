@@ -12,7 +12,7 @@ from feedloom.checks.views import LINK, NOW, SPAN, literal, with_views
 from feedloom.functions import dates, text
 from feedloom.operators import items, joins, prompts, sections
 from feedloom.params import PLACEHOLDER_FEED
-from feedloom.plans.digest import digest_sections
+from feedloom.plans import digest as digest_plan
 from feedloom.operators.selection import top_news_guides
 from feedloom.sources import context, digests, feeds, history, replies, snapshots
 from feedloom.storage import fresh_path
@@ -197,6 +197,13 @@ def latest_digest(spark, d):
     return digests.latest_digest(views.digests(spark, d))
 
 
+@register("resend", with_views("v_digests", query="""
+SELECT profile, run_date, digest_html, '[Resend] Digest - January 31, 2024' AS subject FROM v_digests
+QUALIFY row_number() OVER (PARTITION BY profile ORDER BY created_at DESC) = 1 AND digest_html <> ''"""), day="run_date")
+def resend(spark, d):
+    return digest_plan.resend(views.digests(spark, d), NOW, "Digest").select("profile", "run_date", "digest_html", "subject")
+
+
 @register("config_lists", f"""
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INT) AS pos, entry FROM (
   SELECT doc_id, n, trim(part, {SPACE}) AS entry FROM (
@@ -357,4 +364,4 @@ SELECT run_date, section, CASE WHEN body IS NULL THEN message
 FROM s LEFT JOIN b USING (run_date, section)"""), day="run_date")
 def digest_collect(spark, d):
     """Digest sections of every date: best items, their analysis, fragments, one text per section."""
-    return digest_sections(views.answered(top_news_guides(views.scored(spark, d))))
+    return digest_plan.digest_sections(views.answered(top_news_guides(views.scored(spark, d))))

@@ -70,7 +70,8 @@ def has_keyword(keywords: Sequence[str], word_match: bool = False) -> Column:
     if word_match:
         pattern = r"(?iu)\b(?:" + "|".join(f"\\Q{w}\\E" for w in words) + r")\b"
         return reduce(or_, [t.rlike(pattern) for t in texts])
-    return F.exists(F.array(*map(F.lower, texts)), lambda t: reduce(or_, [t.contains(w) for w in words]))
+    # Each text is lower-cased once for all words, the summary only if the title has none.
+    return reduce(or_, [F.exists(F.array(F.lower(t)), lambda low: reduce(or_, [low.contains(w) for w in words])) for t in texts])
 
 
 def content_split(scored: DataFrame) -> DataFrame:

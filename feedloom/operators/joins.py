@@ -18,11 +18,11 @@ from feedloom.params import NO_LINK, PLACEHOLDER_FEED, utc
 def feed_select(feeds: DataFrame, skip: DataFrame, placeholder: str = PLACEHOLDER_FEED) -> DataFrame:
     """Feeds that are neither on the skip list nor placeholders."""
     named = feeds.filter(~F.col("feed_url").contains(placeholder))
-    return named.join(skip.select("feed_url").distinct(), "feed_url", "left_anti")
+    return named.join(skip.select("feed_url"), "feed_url", "left_anti")
 
 
 def drop_skipped(items: DataFrame, skip: DataFrame) -> DataFrame:
-    listed = skip.select(F.col("feed_url").alias("source_feed")).distinct()
+    listed = skip.select(F.col("feed_url").alias("source_feed"))
     return items.join(listed, "source_feed", "left_anti")
 
 
@@ -91,10 +91,10 @@ def price_lookup(prices: DataFrame, preferred: str, fallback: str) -> DataFrame:
 
 def silent_feeds(feeds: DataFrame, skip: DataFrame, items: DataFrame, monitored: DataFrame | None = None) -> DataFrame:
     """Monitored, not skipped feeds of which no item is left."""
-    watched = feeds if monitored is None else feeds.join(monitored.select("feed_url").distinct(), "feed_url", "left_semi")
+    watched = feeds if monitored is None else feeds.join(monitored.select("feed_url"), "feed_url", "left_semi")
     heard = items.select(F.col("source_feed").alias("feed_url")).distinct()
     return (
-        watched.join(skip.select("feed_url").distinct(), "feed_url", "left_anti")
+        watched.join(skip.select("feed_url"), "feed_url", "left_anti")
         .join(heard, "feed_url", "left_anti")
     )
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.functions.text import subject_line
 from feedloom.operators.items import essential_keys, snippet_fallback
 from feedloom.operators.model import ModelFactory, enrich, generate_tutorial, score_and_tag, usage_rows
 from feedloom.operators.sections import digest_collect, digest_document, digest_rows, with_tutorials
 from feedloom.operators.selection import top_news_guides
-from feedloom.params import RunParams
+from feedloom.params import RunParams, instant
 from feedloom.plans.prefilter import prefilter
-from feedloom.sources.digests import digest_sink
+from feedloom.sources.digests import digest_archive, digest_sink, latest_digest
 from feedloom.sources.history import HistoryLog, HistoryStore
 from feedloom.sources.topics import topic_rotation
 from feedloom.storage import materialize
@@ -45,6 +48,11 @@ def digests_of(
     return digest_document(digest_sections(enriched, run, tutorials, runs), run)
 
 
+def resend(archive: DataFrame, now: dt.datetime, title: str) -> DataFrame:
+    """The last digest of each profile with a subject that says it is sent again."""
+    return latest_digest(archive).withColumn("subject", subject_line(instant(now), title, resend=True))
+
+
 def daily_run(
     items: DataFrame, limits: DataFrame, skip: DataFrame, context: DataFrame, history: HistoryStore | HistoryLog, params: RunParams,
     factory: ModelFactory, models: dict[str, str], reader: str, topics: Sequence[str], profile: str, archive: str,
@@ -89,12 +97,8 @@ def daily_run(
     return usage[0].unionByName(usage[1]).unionByName(usage[2])
 
 
-def _run_days(spark, archive: str, profile: str) -> DataFrame | None:
+def _run_days(spark: SparkSession, archive: str, profile: str) -> DataFrame | None:
     """Days on which the profile already has a digest."""
-    from pyspark.errors import AnalysisException
-
-    from feedloom.sources.digests import digest_archive
-
     try:
         return digest_archive(spark, archive).filter(F.col("profile") == profile).select("profile", "run_date")
     except AnalysisException as error:

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators import model, prompts
@@ -8,7 +9,7 @@ from feedloom.operators.sections import digest_collect, digest_rows, item_fragme
 from feedloom.params import RunParams, settings_frame
 from feedloom.plans.digest import daily_run, digests_of, enrich_plain
 from feedloom.sources.digests import digest_archive, latest_digest
-from feedloom.sources.history import HistoryStore
+from feedloom.sources.history import HistoryLog, HistoryStore
 
 NOW = dt.datetime(2025, 4, 8, 6, tzinfo=dt.timezone.utc)
 
@@ -112,13 +113,14 @@ def reader_model():
     return ask
 
 
-def test_daily_runs(spark, frame, tmp_path):
+@pytest.mark.parametrize("kind", [HistoryStore, HistoryLog])
+def test_daily_runs(spark, frame, tmp_path, kind):
     """Three runs: used items do not come back, topics rotate, usage adds up."""
     titles = [f"AI {'guide' if n % 4 == 0 else 'news'} number {n}" + "!" * n for n in range(30)]
     items = frame(
         [(t, f"https://i/{n}", NOW, "text " + t, f"feed{n % 3}", f"id{n}", n % 3, n) for n, t in enumerate(titles)],
         "title STRING, link STRING, published TIMESTAMP, summary STRING, source_feed STRING, id STRING, feed_rank INT, entry_pos BIGINT")
-    store, archive = HistoryStore(spark, str(tmp_path / "history")), str(tmp_path / "archive")
+    store, archive = kind(spark, str(tmp_path / "history")), str(tmp_path / "archive")
     context = frame([("Project X",)], "context STRING")
     models = {"filter": "s", "summary": "s", "analysis": "l", "tutorial": "l"}
     seen = []
@@ -132,6 +134,6 @@ def test_daily_runs(spark, frame, tmp_path):
         html = latest_digest(digest_archive(spark, archive)).first().digest_html
         assert f"All about {['graphs', 'agents', 'graphs'][day]}" in html
         assert html.count("<div class='item'>") == 7 and "try it in Project X" in html and "Summary of because AI" in html
-        seen += [r.url for r in store.read().filter(F.col("ts") == F.lit(params.now)).collect()]
+        seen += [r.url for r in store.read(params.now).filter(F.col("ts") == F.lit(params.now)).collect()]
     assert len(seen) == len(set(seen)) == 21
     assert settings_frame(spark, "a STRING", [{"a": "x"}]).count() == 1
