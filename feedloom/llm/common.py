@@ -28,9 +28,10 @@ def worded_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_BLANK))
 
 
-def same(left: DataFrame, right: DataFrame, *columns: str) -> Column:
-    """Equality that also holds between NULLs, for joins on nullable ids."""
-    on = left[columns[0]].eqNullSafe(right[columns[0]])
-    for column in columns[1:]:
-        on = on & left[column].eqNullSafe(right[column])
-    return on
+def match(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
+    """Join on equality that also holds between NULLs; the key columns of ``right`` are not returned."""
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
+    on = F.lit(True)
+    for c in columns:
+        on = on & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(other, on, how).drop(*[f"_right_{c}" for c in columns])

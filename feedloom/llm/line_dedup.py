@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import same, whole
+from feedloom.llm.common import match, whole
 
 # Fixed value: a page's tags; what stands between two of them is a line.
 TAG_OR_BREAK = r"<[^>]*>|\n"
@@ -63,8 +63,8 @@ def line_dedup(
         whole(text).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
     dropped = dropped_lines(keyed.select("id", "host", "text", "text_hash"), separator, max_ratio, min_pages)
-    joined = keyed.join(dropped, same(keyed, dropped, "id", "host", "text_hash"), "left").select(
-        "page", keyed["host"], F.split("text", separator).alias("all_lines"),
+    joined = match(keyed, dropped, ["id", "host", "text_hash"]).select(
+        "page", "host", F.split("text", separator).alias("all_lines"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
     )
     kept = F.array_except(F.sequence(F.lit(0), F.size("all_lines") - 1), F.col("dropped"))

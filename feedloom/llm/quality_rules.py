@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import BLANK, same, whole, words, worded_lines
+from feedloom.llm.common import BLANK, match, whole, words, worded_lines
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -119,8 +119,8 @@ def quality_rules(
         lines.join(frequent, ["host", "line_hash"], "left").groupBy("doc_id", "text_hash")
         .agg(removed.alias("n_removed_words"), F.sum("n_line_words").alias("_line_words"))
     )
-    joined = base.join(share, same(base, share, "doc_id", "text_hash"), "left").select(
-        *[base[c] for c in base.columns],
+    joined = match(base, share, ["doc_id", "text_hash"]).select(
+        *base.columns,
         F.coalesce("n_removed_words", F.lit(0)).cast("long").alias("n_removed_words"),
         F.coalesce("_line_words", F.lit(0)).alias("_line_words"),
     )
@@ -130,9 +130,9 @@ def quality_rules(
 
 def passing(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents that the rules keep, with their columns; the text is hashed once more to find each row's verdict."""
-    verdict = quality_rules(docs, **limits).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    match = docs["doc_id"].eqNullSafe(verdict["_id"]) & (F.xxhash64(whole(docs["text"])) == verdict["_hash"])
-    return docs.join(verdict, match, "left_semi")
+    verdict = quality_rules(docs, **limits).filter("kept").select("doc_id", "text_hash")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+    return match(rows, verdict, ["doc_id", "text_hash"], "left_semi").select("row.*")
 
 
 SQL = r"""
