@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, license_scan, line_dedup, quality_rules
+from feedloom.llm import bpe, language_id, license_scan, line_dedup, packing, quality_rules
 from feedloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +33,25 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op8_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    predicted = language_id.language_id(docs, ~held_out)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_license_scan": op3_license_scan,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_hilbert_packing": op8_hilbert_packing,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {
