@@ -1,8 +1,21 @@
-"""Byte streams in numpy: grams of fixed order, a table of 64-bit keys, sums over stretches."""
+"""Inside tasks: slices of batches, byte streams in numpy, grams of fixed order, a table of 64-bit keys, sums over stretches."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+
+# Rows a Python worker takes up at a time, so that its memory does not follow the size of an Arrow batch.
+ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
 
 
 def stream(texts: list[bytes], pad: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

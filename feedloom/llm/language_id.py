@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import whole
-from feedloom.llm.grams import KeyTable, counted, grams, stream, stretch_sums
+from feedloom.llm.grams import KeyTable, counted, grams, slices, stream, stretch_sums
 
 ORDER = 3
 SAMPLE = 400
@@ -20,16 +20,24 @@ PAD = b"\n" * ORDER
 
 
 def sample(labelled: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` labelled texts of each language, spread by a hash; Spark cuts each task to them before the shuffle."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return labelled.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= size).drop("_place")
+    """Texts of at most ``size`` ids of each language, chosen by a hash of the id before any text is moved.
+
+    Spark cuts each task to ``size`` ids per language before the shuffle; a first round within parts of
+    the table keeps what meets in one task small.
+    """
+    ids = labelled.select("lang", "doc_id").withColumn("_part", F.spark_partition_id() % 64)
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    for keys in (["lang", "_part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ids = ids.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place")
+    return labelled.join(ids.drop("_part"), ["lang", "doc_id"], "left_semi")
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
     """lang, gram, n over all bytes of the labelled texts."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tables:
+        for batch in slices(tables):
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             texts = batch.column("text").to_pylist()
             for lang in sorted(set(langs)):
@@ -162,9 +170,7 @@ def language_id(docs: DataFrame, labelled: Column, size: int = SAMPLE) -> DataFr
     trees = learn(known, size)
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tables:
-            if not batch.num_rows:
-                continue
+        for batch in slices(tables):
             texts = [text or b"" for text in batch.column("text").to_pylist()]
             letters = np.array(batch.column("letters").to_pylist(), dtype=bool)
             names, scores = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))

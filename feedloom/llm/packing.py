@@ -15,38 +15,87 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from feedloom.llm.common import whole
-from feedloom.llm.grams import mix
+from feedloom.llm.grams import mix, slices
 from feedloom.storage import materialize
 
 LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 8
-# Words whose ids a worker remembers.
+# Words whose ids a worker remembers at least, and at most twice as many.
 REMEMBERED = 300_000
+# Words encoded in one call.
+CALL = 500
 
-# Blanks of every library; the vocabulary drops white space, and no merge or normal form reaches across it.
+# Characters that str.split() takes for blanks and the vocabulary does not.
+_ODD = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(r"[^ \t\n\r]+")
 
 
+def split(text: str) -> list[str]:
+    """Runs between blanks; the vocabulary drops white space, and no merge or normal form reaches across it."""
+    return _WORD.findall(text) if _ODD.search(text) else text.split()
+
+
 class Words:
-    """Ids of words by one vocabulary, remembered from text to text."""
+    """Ids of words by one vocabulary; words that come again are remembered."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Runs of letters before full stops or commas are encoded apart, as the vocabulary's own split does."""
+        parts = {}
+        for word in words:
+            core = word.rstrip(".,")
+            if len(core) < len(word) and core.isalpha():
+                parts[word] = (core, word[len(core):])
+        wanted = set(words).difference(parts).union(*parts.values()).difference(self.young)
+        self._encode([w for w in wanted if not self._remembered(w)])
+        for word, (core, tail) in parts.items():
+            self.young[word] = self.young[core] + self.young[tail]
+
+    def _remembered(self, word: str) -> bool:
+        known = self.old.get(word)
+        if known is not None:
+            self.young[word] = known
+        return known is not None
+
+    def _encode(self, words: list[str]) -> None:
+        letters = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        calls = [letters[i:i + CALL] for i in range(0, len(letters), CALL)]
+        for call, encoded in zip(calls, self.tokenizer.encode_batch_fast([" ".join(c) for c in calls], add_special_tokens=False)):
+            ids = np.array(encoded.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(call):  # a run of letters ends with one token that ends a word
+                self._keep(call, ids, [0, *ends.tolist()])
+            else:
+                rest += call
+        calls = [rest[i:i + CALL] for i in range(0, len(rest), CALL)]
+        for call, encoded in zip(calls, self.tokenizer.encode_batch(calls, is_pretokenized=True, add_special_tokens=False)):
+            of = np.array([-1 if w is None else w for w in encoded.word_ids], dtype=np.int64)
+            self._keep(call, np.array(encoded.ids, dtype="<u4"), np.searchsorted(of, np.arange(len(call) + 1)).tolist())
+
+    def _keep(self, words: list[str], ids: np.ndarray, edges: list[int]) -> None:
+        data = ids.tobytes()
+        for word, start, end in zip(words, edges, edges[1:]):
+            self.young[word] = data[4 * start:4 * end]
 
     def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text, with the end id."""
-        split = [_WORD.findall(text) for text in texts]
-        new = list({word for words in split for word in words if word not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list({word for words in split for word in words})
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(encoded.ids, dtype="<u4").tobytes()
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        texts_words = [split(text) for text in texts]
+        words = set().union(*texts_words).difference(self.young)
+        self._learn([w for w in words if not self._remembered(w)])
         end = np.array([end_id], dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, dtype="<u4") for words in split]
+        return [np.frombuffer(b"".join(map(self.young.__getitem__, found)) + end, dtype="<u4") for found in texts_words]
 
 
 @lru_cache(maxsize=2)
@@ -102,14 +151,11 @@ def placed(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for batch in tables:
-            if batch.num_rows:
-                ids = words.ids(batch.column("text").to_pylist(), end_id)
-                curve = hilbert_key(grid(np.stack([hashed_vector(x) for x in ids])))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(curve), pa.array([x.tobytes() for x in ids], pa.binary())],
-                    ["doc_id", "curve", "ids"],
-                )
+        for batch in slices(tables):
+            ids = words.ids(batch.column("text").to_pylist(), end_id)
+            curve = hilbert_key(grid(np.stack([hashed_vector(x) for x in ids])))
+            data = pa.array([x.tobytes() for x in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(curve), data], ["doc_id", "curve", "ids"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
     return text.mapInArrow(batches, "doc_id long, curve long, ids binary")
@@ -172,7 +218,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def sequences(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in tables for row in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()))
+        rows = (row for batch in slices(tables) for row in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()))
         out, size = [], 0
         for piece in pieces(rows, length, TaskContext.get().partitionId() << 40):
             out.append(piece)
