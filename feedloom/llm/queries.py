@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, language_id, license_scan, line_dedup, packing, quality_rules
+from feedloom.llm import bpe, language_id, license_scan, line_dedup, near_dedup, packing, quality_rules
 from feedloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_license_scan": op3_license_scan,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_hilbert_packing": op8_hilbert_packing,
     "op9_language_id": op9_language_id,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
