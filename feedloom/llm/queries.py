@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, language_id, license_scan, line_dedup, near_dedup, packing, quality_rules
+from feedloom.llm import bpe, language_id, license_scan, line_dedup, near_dedup, neighbours, packing, quality_rules
 from feedloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of raw web pages: what stands between two tags."""
     pages = table(spark, sf_dir, "pages")
@@ -52,6 +56,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_license_scan": op3_license_scan,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_hilbert_packing": op8_hilbert_packing,
