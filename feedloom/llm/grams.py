@@ -44,6 +44,20 @@ def mix(keys: np.ndarray) -> np.ndarray:
     return x
 
 
+def word_hashes(data: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and a 64-bit hash of it; ``blank`` marks the bytes between words, the last byte must be one."""
+    start = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    end = np.flatnonzero(blank & np.concatenate([[False], ~blank[:-1]]))
+    if not len(start):
+        return start, np.zeros(0, dtype=np.uint64)
+    # The sum of mixed (byte, place in the word), mixed once more with the length.
+    place = np.arange(len(data), dtype=np.uint64)
+    place[start[0]:] -= np.repeat(start, np.diff(np.append(start, len(data)))).astype(np.uint64)
+    cells = mix(data + (place << np.uint64(8)) + np.uint64(1))
+    cells[blank] = 0
+    return start, mix(np.add.reduceat(cells, start) + (end - start).astype(np.uint64))
+
+
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with their counts."""
     if not len(keys):
@@ -68,7 +82,7 @@ class KeyTable:
 
     def __init__(self, keys: np.ndarray) -> None:
         mixed = mix(keys)
-        self.rows = np.argsort(mixed)
+        self.rows = np.argsort(mixed).astype(np.int32)
         self.mixed = mixed[self.rows]
         bits = max(1, int(len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)

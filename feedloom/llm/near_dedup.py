@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import match, whole
 from feedloom.llm.components import components
-from feedloom.llm.grams import mix, slices
+from feedloom.llm.grams import mix, slices, word_hashes
 from feedloom.storage import materialize
 
 WORDS = 5
@@ -32,16 +32,9 @@ def shingles(texts: list[bytes], size: int = WORDS) -> tuple[np.ndarray, np.ndar
     data = np.frombuffer(b"\n".join(texts).lower() + b"\n", dtype=np.uint8)
     ends_of_text = np.cumsum([len(t) + 1 for t in texts])
     blank = _BLANK[data]
-    start = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
-    end = np.flatnonzero(blank & np.concatenate([[False], ~blank[:-1]]))
+    start, word = word_hashes(data, blank)
     if not len(start):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    # A word's hash: the sum of mixed (byte, place in the word), mixed once more.
-    place = np.arange(len(data))
-    place[start[0]:] -= np.repeat(start, np.diff(np.append(start, len(data))))
-    cells = mix(data.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(1))
-    cells[blank] = 0
-    word = mix(np.add.reduceat(cells, start) + (end - start).astype(np.uint64))
     of = np.searchsorted(ends_of_text, start, "right")
     first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
     count = np.diff(np.append(first, len(of)))
