@@ -1,14 +1,13 @@
 """Scoring by a language model: prediction by partial matching over bytes, beside a word model with add-one counts.
 
 The model is two tables of 64-bit keys, counted over the whole corpus: grams of
-a byte and the four before it, and hashes of words. Keys that are frequent
+a byte and the five before it, and hashes of words. Keys that are frequent
 enough to be few are sent to every task; the rest is found by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +18,13 @@ from feedloom.llm.common import whole
 from feedloom.llm.grams import KeyTable, counted, grams, slices, stream, stretch_sums, word_hashes
 from feedloom.storage import materialize
 
-ORDER = 4
+ORDER = 5
 END = b"\n"
 PAD = END * ORDER
 # Bytes a coded text can hold: all but the blanks that never stand in it.
 SYMBOLS = 252
-# A key is frequent when it makes up one in so many occurrences; so there are no more frequent keys than that.
-FREQUENT_GRAMS = 1 << 20
+# So many of the most frequent keys, at most, are sent to every task.
+FREQUENT_GRAMS = 1 << 21
 FREQUENT_WORDS = 1 << 20
 # Keys a task gathers before it counts them and hands them on.
 GATHERED = 1 << 22
@@ -118,16 +117,17 @@ def trie(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def gram_values(counts: DataFrame) -> DataFrame:
-    """key, value: log10 of P(byte | four bytes before it) for every gram of the corpus.
+    """key, value: log10 of P(byte | five bytes before it) for every gram of the corpus.
 
-    Escapes by method C; a symbol that a longer context knows is excluded from
+    Escapes by method D: a context gives n - 1/2 to a symbol it holds n times, and
+    half of its number of symbols to the escape. A symbol that a longer context knows is excluded from
     the shorter ones; at the end the symbols left are equally likely.
     """
     seen, new = counts.filter("n > 0"), counts.filter("n = 0").select("key")
     grams_, contexts = trie(seen)
     deepest = contexts.filter(F.col("level") == ORDER).select("context", "total", "distinct")
     direct = seen.withColumn("context", F.shiftright("key", 8)).join(deepest, "context").select(
-        "key", F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value")
+        "key", F.log10((2 * F.col("n") - 1) / (2 * F.col("total"))).alias("value")
     )
     found = (
         _levels(new, "key").join(grams_.drop("context"), ["level", "gram"], "left")
@@ -139,28 +139,34 @@ def gram_values(counts: DataFrame) -> DataFrame:
     entered = F.when(F.col("total0").isNull(), F.lit(-np.log10(SYMBOLS)))
     for j in range(ORDER + 1):
         if j:
-            mass = F.col(f"left_total{j}") + F.col(f"left_distinct{j}")
+            mass = 2 * F.col(f"left_total{j}")
             escaped = F.when(mass > 0, F.log10(F.col(f"left_distinct{j}") / mass)).otherwise(0.0) + after
-            after = F.when(F.col(f"n{j - 1}") > 0, F.log10(F.col(f"n{j - 1}") / mass)).otherwise(escaped)
-        whole_mass = F.col(f"total{j}") + F.col(f"distinct{j}")
-        here = F.when(F.col(f"n{j}") > 0, F.log10(F.col(f"n{j}") / whole_mass)).otherwise(F.log10(F.col(f"distinct{j}") / whole_mass) + after)
+            after = F.when(F.col(f"n{j - 1}") > 0, F.log10((2 * F.col(f"n{j - 1}") - 1) / mass)).otherwise(escaped)
+        whole_mass = 2 * F.col(f"total{j}")
+        here = F.when(F.col(f"n{j}") > 0, F.log10((2 * F.col(f"n{j}") - 1) / whole_mass)).otherwise(F.log10(F.col(f"distinct{j}") / whole_mass) + after)
         entered = F.when(F.col(f"total{j}").isNotNull(), here).otherwise(entered)
     return direct.unionByName(wide.select("key", entered.alias("value")))
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The smallest power of two that no more than ``most`` keys reach."""
+    sizes = counts.filter("n > 0").groupBy(F.floor(F.log2("n")).alias("power")).count().collect()
+    powers = sorted((row["power"], row["count"]) for row in sizes)
+    return next((1 << p for p in range(64) if sum(n for power, n in powers if power >= p) <= most))
+
+
 def lm_score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     A document is its words (runs without ASCII blanks, ASCII letters
     lower-cased), each with one blank after it, and an end. ``score`` is log10 of its
-    probability under prediction by partial matching with contexts of up to four
+    probability under prediction by partial matching with contexts of up to five
     bytes, which reach across words; ``base_score`` that of its words and its end under
     add-one counts. Both learn from all documents where ``held_out`` is false.
 
     Every distinct gram and word is counted, before the shuffle within each task,
-    and given its value in tables that grow with the corpus. Of these, keys
-    that make up one in ``FREQUENT_*`` occurrences or more go to all tasks; there
-    cannot be more of them than that number. Where others stand is joined with their values.
+    and given its value in tables that grow with the corpus. The most frequent, no
+    more than ``FREQUENT_GRAMS`` and ``FREQUENT_WORDS``, go to all tasks; where others stand is joined with their values.
 
     NULL and empty texts are an end alone. NULL for ``held_out`` (no doc_id) is not learnt from.
     Rows that agree in doc_id and text are one row, but each of them is learnt from. Words are told apart by 63-bit
@@ -175,13 +181,12 @@ def lm_score(docs: DataFrame, held_out: Column) -> DataFrame:
     sums = counts.groupBy(is_word.alias("word")).agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).collect()
     totals = {row["word"]: row for row in sums}
     n, v = (totals[True]["n"], totals[True]["distinct"]) if True in totals else (0, 0)
-    n_grams = totals[False]["n"] if False in totals else 0
     word_values = counts.filter(is_word).select("key", F.log10((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("value"), "n")
     gram_counts = counts.filter(~is_word)
     values = gram_values(gram_counts).join(gram_counts, "key").unionByName(word_values)
     values = materialize(values.select("key", "value", "n"), "values")
-    frequent = F.when(is_word, F.col("n") * FREQUENT_WORDS >= max(n, 1)).otherwise(F.col("n") * FREQUENT_GRAMS >= max(n_grams, 1))
-    few = values.filter(frequent & (F.col("n") > 0)).select("key", "value").toPandas()
+    frequent = F.col("n") >= F.when(is_word, least_count(counts.filter(is_word), FREQUENT_WORDS)).otherwise(least_count(gram_counts, FREQUENT_GRAMS))
+    few = values.filter(frequent).select("key", "value").toPandas()
     shared = docs.sparkSession.sparkContext.broadcast((KeyTable(few["key"].to_numpy(np.int64).view(np.uint64)), few["value"].to_numpy()))
     names = ["doc_id", "held_out", "text_hash", "key", "times", "copies", "n_tokens", "n_known", "base_score", "score"]
 
@@ -217,7 +222,7 @@ def lm_score(docs: DataFrame, held_out: Column) -> DataFrame:
     parts = rows.mapInArrow(
         batches, "doc_id long, held_out boolean, text_hash long, key long, times long, copies long, n_tokens long, n_known long, base_score double, score double"
     )
-    rare = values.filter(~(frequent & (F.col("n") > 0)))
+    rare = values.filter(~frequent)
     joined = parts.join(rare, "key", "left")
     value, seen = F.coalesce(F.col("value") * F.col("times"), F.lit(0.0)), F.when(F.col("n") > 0, F.col("times")).otherwise(0)
     word = F.col("key") < 0
