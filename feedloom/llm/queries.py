@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, language_id, license_scan, line_dedup, lm_scoring, near_dedup, neighbours, packing, quality_rules
+from feedloom.llm import bpe, language_id, license_scan, line_dedup, lm_scoring, near_dedup, neighbours, packing, quality_rules, substring_dedup
 from feedloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.substring_dedup(table(spark, sf_dir, "documents")))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of raw web pages: what stands between two tags."""
     pages = table(spark, sf_dir, "pages")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_license_scan": op3_license_scan,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_hilbert_packing": op8_hilbert_packing,
