@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import match, whole
@@ -88,7 +88,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "set_a", "set_b", "n_shingles", "bands"]
         for batch in slices(tables):
             texts = batch.column("text").to_pylist()
-            of, keys, weights = shingles(texts)
+            of, keys, _ = shingles(texts)
             n = len(texts)
             size = np.bincount(of, minlength=n)
             sums = []
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 total = np.zeros(n, dtype=np.uint64)
                 np.add.at(total, of, mix(keys + np.uint64(salt)))
                 sums.append(pa.array(mix(total).view(np.int64)))
-            rows = sketch(of, keys, weights, n, BANDS * ROWS_PER_BAND).reshape(n, BANDS, ROWS_PER_BAND)
+            rows = sketch(of, keys, np.ones(len(keys)), n, BANDS * ROWS_PER_BAND).reshape(n, BANDS, ROWS_PER_BAND)
             band = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None], n, axis=0)
             for k in range(ROWS_PER_BAND):
                 band = mix(band * _ODD + rows[:, :, k])
@@ -129,28 +129,69 @@ def buckets(representatives: DataFrame) -> DataFrame:
 
 
 def star_pairs(rows: DataFrame) -> DataFrame:
-    """a, b: each document of a bucket with the bucket's smallest, its largest and one chosen by a hash."""
+    """a, b: each document of a bucket with the bucket's most central one, its smallest and one chosen by a hash.
+
+    A document is the more central the more documents share its buckets: the
+    text that others were copied from stands in the largest bucket of each band.
+    """
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = rows.join(sizes, "bucket")
+    weights = shared.groupBy("doc").agg(F.sum("size").alias("weight"))
+    weighted = shared.join(weights, "doc")
     order = F.xxhash64("doc")
-    centres = rows.groupBy("bucket").agg(
-        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min(F.struct(order.alias("h"), "doc")).alias("any"),
-    ).filter("low < high").select("bucket", F.explode(F.array_distinct(F.array("low", "high", "any.doc"))).alias("centre"))
-    return _pairs(rows.join(centres, "bucket").select(F.col("centre").alias("a"), F.col("doc").alias("b")))
+    centres = weighted.groupBy("bucket").agg(
+        F.max(F.struct("weight", "doc")).alias("central"), F.min("doc").alias("low"), F.min(F.struct(order.alias("h"), "doc")).alias("any"),
+    ).select("bucket", F.explode(F.array_distinct(F.array("central.doc", "low", "any.doc"))).alias("centre"))
+    return _pairs(shared.join(centres, "bucket").select(F.col("centre").alias("a"), F.col("doc").alias("b")))
+
+
+def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc, root of the documents in buckets that hold more than one component."""
+    rooted = _rooted(rows, roots)
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return rooted.join(mixed, "bucket", "left_semi").select("doc", "root").distinct()
 
 
-def open_pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """a, b: documents that share a bucket and no component yet.
+def rare_shingles(open_docs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """bucket (a shingle), doc, root, n, left: the rarest shingles of each open document, as many as a similar one
+    cannot all miss; left counts this and the less rare ones.
+
+    Two sets of that similarity share one of the n - ceil(similarity * n) + 1 rarest shingles of either. A shingle
+    of one document alone pairs nothing, so copies that differ too much among themselves form no pairs.
+    """
+    tokens = sets.join(open_docs, F.col("doc_id") == F.col("doc")).select("doc", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket"))
+    counts = tokens.groupBy("bucket").agg(F.count(F.lit(1)).alias("documents")).filter("documents > 1")
+    lone = tokens.join(counts, "bucket")
+    shared = lone.withColumn("place", F.row_number().over(Window.partitionBy("doc").orderBy("documents", "bucket")))
+    known = F.count(F.lit(1)).over(Window.partitionBy("doc"))
+    # Shingles that no other document has come first in the order; only their number matters.
+    prefix = F.col("n") - F.ceil(similarity * F.col("n")) + 1 - (F.col("n") - F.col("known"))
+    return shared.withColumn("known", known).filter(F.col("place") <= prefix).select(
+        "bucket", "doc", "root", "n", (F.col("known") - F.col("place") + 1).alias("left"))
+
+
+def open_pairs(rooted: DataFrame, similarity: float) -> DataFrame:
+    """a, b: documents that share a rare shingle and no component.
+
+    From the first shingle that both have, what is left of either bounds what they can share.
 
     Within a bucket the documents of its largest component are one side only,
-    so a large group that the stars have joined makes no pairs with itself.
+    so a large group that is joined already makes no pairs with itself.
     """
-    known = roots.select(F.col("node").alias("doc"), "root")
-    rooted = rows.join(known, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("root"))
     sizes = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
     mixed = rooted.join(most.drop("roots"), "bucket")
-    others = mixed.filter("root <> most").select("bucket", F.col("doc").alias("a"), F.col("root").alias("root_a"))
-    every = mixed.select("bucket", F.col("doc").alias("b"), F.col("root").alias("root_b"))
-    return _pairs(others.join(every, "bucket").filter("root_a <> root_b").select("a", "b"))
+    names = ["doc", "root", "n", "left"]
+    others = mixed.filter("root <> most").select("bucket", *[F.col(c).alias(f"{c}_a") for c in names])
+    every = mixed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in names])
+    enough = F.least("left_a", "left_b") >= similarity / (1 + similarity) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    joined = others.join(every, "bucket").filter((F.col("root_a") != F.col("root_b")) & enough)
+    return _pairs(joined.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    known = roots.select(F.col("node").alias("doc"), "root")
+    return rows.join(known, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("root"))
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
@@ -173,12 +214,12 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Classes are the connected components of the links between texts whose sets
     of five-word shingles have a Jaccard similarity of ``similarity`` or more.
-    ProbMinHash signatures, weighted by how often a shingle stands in the text, are
-    cut into bands; at similarity 0.8 sixteen bands of four find a pair with a probability of
-    0.9998. Texts of equal shingles are one before any pair is formed. In each
-    bucket three documents are compared with all, components are taken, and then
-    whatever is still apart in a bucket is compared as well: no link between
-    candidates is lost, whatever the size of a bucket.
+    ProbMinHash signatures are cut into bands; at similarity 0.8 sixteen bands of four
+    find a pair with a probability of 0.9998. Each distinct shingle weighs one here, so that the
+    estimate is of what is verified. Texts of equal shingles are one before any pair is formed. In each
+    bucket three documents are compared with all, and components are taken. Documents of
+    buckets that still hold several components are then joined exactly, on
+    their rarest shingles: no link between candidates is lost, whatever the size of a bucket.
 
     Texts without words (NULL, empty, blank) are in a class of their own. Rows
     without doc_id cannot be named and are left out; repeated rows come back
@@ -196,7 +237,8 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sets = materialize(shingle_sets(texts), "sets")
     links = materialize(similar(stars, sets, similarity), "links")
     roots = components(links)
-    more = similar(open_pairs(rows, roots).join(stars, ["a", "b"], "left_anti"), sets, similarity)
+    rare = materialize(rare_shingles(still_open(rows, roots), sets, similarity), "rare")
+    more = similar(open_pairs(rare, similarity).join(stars, ["a", "b"], "left_anti"), sets, similarity)
     links = links.unionByName(more)
     equal = worded.join(representatives.select("set_a", "set_b", F.col("doc_id").alias("b")), ["set_a", "set_b"]).select(F.col("doc_id").alias("a"), "b")
     roots = components(links.unionByName(equal))

@@ -24,7 +24,7 @@ from feedloom.storage import materialize
 LENGTH = 100
 GRAM = 16
 # Bytes of one suffix array.
-SHARD = 1 << 22
+SHARD = 1 << 20
 # Shards of more distinct stretches than this are cut to single windows, which spread by their own hash.
 LARGE = 4096
 
@@ -108,21 +108,21 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """shard, large, doc_id, start, piece: the bytes of the wanted stretches."""
+    """shard, doc_id, start, piece: the bytes of the wanted stretches."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(tables, 64):
             rows = [
-                (w["shard"], w["large"], doc_id, w["start"], text[w["start"]:w["start"] + w["windows"] + length - 1])
+                (w["shard"], doc_id, w["start"], text[w["start"]:w["start"] + w["windows"] + length - 1])
                 for doc_id, text, ws in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted"))) for w in ws
             ]
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "large", "doc_id", "start", "piece"])
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "doc_id", "start", "piece"])
 
-    of_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("shard", "large", "start", "windows")).alias("wanted"))
+    of_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("shard", "start", "windows")).alias("wanted"))
     return docs.join(of_doc, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
-        batches, "shard long, large boolean, doc_id long, start long, piece binary"
+        batches, "shard long, doc_id long, start long, piece binary"
     )
 
 
@@ -188,8 +188,9 @@ def repeats(docs: DataFrame, by_id: DataFrame, length: int) -> DataFrame:
     shards = texts.groupBy("shard").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("copies"), F.max("n").alias("n"))
     mixed = shards.filter("texts > 1 OR n > copies").select("shard", (F.col("texts") > LARGE).alias("large"))
     wanted = texts.drop("n", "copies").join(mixed, "shard").select("shard", "large", "first.doc_id", "first.start", "windows")
-    pieces = cut_out(by_id, wanted, length)
-    found = repeated_in_shards(pieces.filter("NOT large"), length).unionByName(repeated_windows(pieces.filter("large"), length))
+    wanted = materialize(wanted, "wanted")
+    small, large = (cut_out(by_id, wanted.filter(which).drop("large"), length) for which in ("NOT large", "large"))
+    found = repeated_in_shards(small, length).unionByName(repeated_windows(large, length))
     return found.unionByName(copies.select("doc_id", "start", "windows"))
 
 
