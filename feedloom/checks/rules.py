@@ -220,7 +220,7 @@ SELECT {ITEM}, CAST(rn AS INT) AS rank FROM (
   SELECT i.*, row_number() OVER ({NEWEST}) AS rn, {LIMIT} AS lim FROM v_items i LEFT JOIN v_limits l ON l.feed_url = i.source_feed)
 WHERE rn <= lim"""))
 def newest_per_feed(spark, d):
-    newest = selection.newest_per_feed(views.items(spark, d), views.limits(spark), PARAMS.default_limit, PARAMS.max_limit)
+    newest = selection.newest_per_feed(views.items(spark, d), views.limits(spark), PARAMS.default_limit)
     return newest.select(*ITEM_COLUMNS, "rank")
 
 
@@ -233,7 +233,19 @@ def newest_per_feed_large(spark, d):
     from feedloom.params import settings_frame
 
     own = settings_frame(spark, "feed_url STRING, lim STRING", [{"feed_url": "src0", "lim": "5"}])
-    return selection.newest_per_feed(views.items(spark, d), own, 5000, 5000).select(*ITEM_COLUMNS, "rank")
+    return selection.newest_per_feed(views.items(spark, d), own, 5000).select(*ITEM_COLUMNS, "rank")
+
+
+@register("newest_per_feed_own_limits", with_views("v_items", query=f"""
+SELECT {ITEM}, CAST(rn AS INT) AS rank FROM (
+  SELECT i.*, row_number() OVER ({NEWEST}) AS rn, CASE source_feed WHEN 'src0' THEN 60 ELSE 3 END AS lim FROM v_items i)
+WHERE rn <= lim"""))
+def newest_per_feed_own_limits(spark, d):
+    """A limit of the table far above the default is in force in full."""
+    from feedloom.params import settings_frame
+
+    own = settings_frame(spark, "feed_url STRING, lim STRING", [{"feed_url": "src0", "lim": "60"}])
+    return selection.newest_per_feed(views.items(spark, d), own, 3).select(*ITEM_COLUMNS, "rank")
 
 
 @register("first_by_id", with_views("v_items", query=f"SELECT {ITEM} FROM (SELECT *, {FIRST_BY_ID} AS dn FROM v_items) WHERE dn = 1"))

@@ -24,7 +24,18 @@ def arriving_items(spark, d):
 def stream_items(spark, d):
     landing = fresh_path(spark, "landing")
     write_bodies(rss_bodies(spark, d), landing)
-    rows = feeds.run_available(feeds.stream_items(spark, landing), "stream-items")
+    rows = feeds.run_available(feeds.stream_items(spark, landing), fresh_path(spark, "stream-items"))
+    return spark.read.schema(ITEM_SCHEMA).parquet(rows)
+
+
+@register("stream_resume", with_views("v_items", query=FEED_SQL))
+def stream_resume(spark, d):
+    """Two runs over a folder that grows: the second takes up only what is new."""
+    landing, base = fresh_path(spark, "landing"), fresh_path(spark, "stream-resume")
+    bodies = rss_bodies(spark, d)
+    for half in (0, 1):
+        write_bodies(bodies.filter(F.col("feed_rank") % 2 == half), landing)
+        rows = feeds.run_available(feeds.stream_items(spark, landing), base)
     return spark.read.schema(ITEM_SCHEMA).parquet(rows)
 
 
@@ -40,7 +51,7 @@ def stream_dedup(spark, d):
 def stream_late(spark, d):
     fetched = arriving_items(spark, d).withColumn("fetched_at", F.lit(NOW))
     kept = feeds.stream_late(fetched, 240).select(*ITEM_COLUMNS)
-    return spark.read.schema(kept.schema).parquet(feeds.run_available(kept, "stream-late"))
+    return spark.read.schema(kept.schema).parquet(feeds.run_available(kept, fresh_path(spark, "stream-late")))
 
 
 @register("stream_prefilter", ORACLES["prefilter"])
@@ -48,7 +59,7 @@ def stream_prefilter(spark, d):
     root = fresh_path(spark, "candidates")
     used = views.history(spark, d)
     write = feeds.stream_prefilter(root, lambda: used, views.limits(spark), views.skip(spark), views.PARAMS)
-    feeds.run_available(arriving_items(spark, d), "stream-prefilter", write)
+    feeds.run_available(arriving_items(spark, d), fresh_path(spark, "stream-prefilter"), write)
     kept = spark.read.schema(f"{ITEM_SCHEMA}, rank INT, batch_id BIGINT").parquet(root)
     return kept.select("entry_pos", "source_feed", "link", "title", "published", "id", "rank")
 
@@ -61,7 +72,7 @@ SELECT * FROM d WHERE digest_day + INTERVAL '1' DAY + INTERVAL '6' HOUR <= (SELE
 def stream_daily(spark, d):
     events = views.arriving(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
     days = feeds.stream_daily(events, ["event_type"])
-    return spark.read.schema(days.schema).parquet(feeds.run_available(days, "stream-daily"))
+    return spark.read.schema(days.schema).parquet(feeds.run_available(days, fresh_path(spark, "stream-daily")))
 
 
 @register("history_log", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, max(ts) AS ts FROM m WHERE ts >= {CUTOFF} GROUP BY url"))
@@ -81,5 +92,5 @@ def stream_history_ttl(spark, d):
     store.write(views.history(spark, d).groupBy("url").agg(F.max("ts").alias("ts")))
     good = views.table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("entry_pos"))
     used = arriving_items(spark, d).join(good, "entry_pos").select(F.col("link").alias("url"))
-    feeds.run_available(used, "stream-history", feeds.stream_history(store, lambda batch: NOW))
+    feeds.run_available(used, fresh_path(spark, "stream-history"), feeds.stream_history(store, lambda batch: NOW))
     return store.read()

@@ -10,9 +10,10 @@ from feedloom.functions import chain
 # RFC-822 shapes behind the weekday: with or without seconds, short year, day only.
 # A text is parsed by the one shape it has: a failing parse costs an exception.
 _RFC822 = {
-    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2} ": "d MMM yyyy HH:mm:ss Z",
-    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2} ": "d MMM yyyy HH:mm Z",
-    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} ": "d MMM yy HH:mm:ss Z",
+    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2} ": "d MMM yyyy H:mm:ss Z",
+    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{1,2}:[0-9]{2} ": "d MMM yyyy H:mm Z",
+    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{2} [0-9]{1,2}:[0-9]{2}:[0-9]{2} ": "d MMM yy H:mm:ss Z",
+    r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{2} [0-9]{1,2}:[0-9]{2} ": "d MMM yy H:mm Z",
     r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [+-]": "d MMM yyyy Z",
 }
 
@@ -25,6 +26,12 @@ _ZONES = {
 _ZONE = r"\s*([A-Za-z]+|[+-][0-9]{2}:?[0-9]{2})$"
 
 
+# "Mon Jan  6 10:00:00 2025": the form of the C library, always UTC.
+_C_TIME = r"^[A-Za-z]{3,9},? ([A-Za-z]{3})[a-z]* +([0-9]{1,2}) ([0-9:]{4,8}) ([0-9]{4})$"
+_COMMENT = r"\s*\([^()]*\)$"
+_LONG_MONTH = r"^([0-9]{1,2}) +([A-Za-z]{3})[A-Za-z]*\.? +"
+
+
 def _offset(zone: Column) -> Column:
     named = F.create_map(*[F.lit(part) for pair in _ZONES.items() for part in pair])
     return F.when(zone.rlike("^[+-]"), F.replace(zone, F.lit(":"), F.lit(""))).otherwise(
@@ -46,9 +53,13 @@ def _rfc822(zoned: Column) -> Column:
 
 
 def _parsed(given: Column) -> Column:
-    without_weekday = F.regexp_replace(given, r"^[A-Za-z]{3,9},\s*", "")
-    return F.when(given.rlike(r"^[0-9]{4}(?:-|$)"), F.try_to_timestamp(given)).otherwise(
-        chain(without_weekday, _zoned, _rfc822)
+    in_order = F.regexp_replace(F.regexp_replace(given, _COMMENT, ""), _C_TIME, "$2 $1 $4 $3 +0000")
+    without_weekday = F.regexp_replace(in_order, r"^[A-Za-z]{3,9},\s*", "")
+    short = F.regexp_replace(without_weekday, _LONG_MONTH, "$1 $2 ")
+    return (
+        F.when(given.rlike(r"^[0-9]{4}(?:-|$)"), F.try_to_timestamp(given))
+        .when(given.rlike(r"^[0-9]{8}$"), F.try_to_timestamp(given, F.lit("yyyyMMdd")))
+        .otherwise(chain(short, _zoned, _rfc822))
     )
 
 

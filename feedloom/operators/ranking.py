@@ -33,7 +33,7 @@ def _first_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
 
-def first_per(df: DataFrame, key: Column, order: Sequence[Column], identity: Sequence[str]) -> DataFrame:
+def first_per(df: DataFrame, key: Column, order: Sequence[Column], identity: Sequence[str | Column]) -> DataFrame:
     """First row per key. Rows whose key is NULL are all kept.
 
     A NULL key is replaced by the row's ``identity`` (columns no two rows

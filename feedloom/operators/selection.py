@@ -15,25 +15,41 @@ from feedloom.params import NO_LINK
 SLOT_SECONDS = 3600
 SLOT_POSITIONS = 100_000
 
-# No two items share both.
-ITEM_IDENTITY = ("source_feed", "entry_pos")
+CONTENT = ("title", "link", "id", "published", "summary")
+
+
+def content_key(columns: Sequence[str] = CONTENT) -> Column:
+    """Tells apart items that different documents of one feed have at the same place."""
+    return F.xxhash64(*[c for c in CONTENT if c in columns])
+
+
+def item_identity() -> list[Column]:
+    """Items that agree in all of this are one item, fetched twice."""
+    return [F.col("source_feed"), F.col("entry_pos"), content_key().alias("content")]
 
 
 def newest_first() -> list[Column]:
-    return [F.col("published").desc_nulls_last(), F.col("entry_pos").asc()]
+    return [F.col("published").desc_nulls_last(), F.col("entry_pos").asc(), content_key().asc()]
+
+
+def largest_limit(limits: DataFrame, default_limit: int) -> int:
+    """Largest limit any feed can get by the table; one small job over the settings."""
+    own = limits.agg(F.max(F.expr("try_cast(lim AS INT)"))).first()[0]
+    return max(own or 0, default_limit, 0)
 
 
 def newest_per_feed(
-    items: DataFrame, limits: DataFrame, default_limit: int, max_limit: int, salts: int = SALTS
+    items: DataFrame, limits: DataFrame, default_limit: int, at_least: int = 0, salts: int = SALTS
 ) -> DataFrame:
     """The newest items of each feed up to its limit, with their ``rank`` in it.
 
-    Dateless items come last, equal dates keep the feed's order. ``max_limit``
-    is the largest limit in force; as a literal it lets Spark cut every map
+    Dateless items come last, equal dates keep the feed's order. The largest
+    limit of the table, or ``at_least`` if that is more, is put in as a literal, which lets Spark cut every map
     task to that many rows per feed. Limits too large for that are ranked by
     hour instead, with the same result. With very many small feeds the salted
     round saves nothing; ``salts=1`` leaves it out.
     """
+    max_limit = max(largest_limit(limits, default_limit), at_least)
     if max_limit > group_limit_bound(items):
         limited = limit_lookup(items, limits, default_limit)
         dateless = F.col("published").isNull()
@@ -54,7 +70,7 @@ def item_key() -> Column:
 
 def first_by_id(items: DataFrame) -> DataFrame:
     """Across feeds the first item per id; feeds listed earlier win."""
-    return first_per(items, item_key(), [F.col("feed_rank"), *newest_first()], ITEM_IDENTITY)
+    return first_per(items, item_key(), [F.col("feed_rank"), *newest_first()], item_identity())
 
 
 def top_news_guides(

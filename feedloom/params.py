@@ -23,8 +23,8 @@ PLACEHOLDER_FEED = "youtube.com/feeds/videos.xml?channel_id=PLACEHOLDER"
 
 
 def utc(moment: dt.datetime) -> dt.datetime:
-    """A naive datetime is taken as UTC, so literals do not depend on the driver's zone."""
-    return moment.replace(tzinfo=dt.timezone.utc) if moment.tzinfo is None else moment
+    """In UTC, as which a naive datetime is taken, so nothing depends on the zone of driver or caller."""
+    return moment.replace(tzinfo=dt.timezone.utc) if moment.tzinfo is None else moment.astimezone(dt.timezone.utc)
 
 
 def instant(moment: dt.datetime) -> Column:

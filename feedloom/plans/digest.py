@@ -14,10 +14,11 @@ from feedloom.operators.items import essential_keys, snippet_fallback
 from feedloom.operators.model import ModelFactory, enrich, generate_tutorial, score_and_tag, usage_rows
 from feedloom.operators.sections import digest_collect, digest_document, digest_rows, with_tutorials
 from feedloom.operators.selection import top_news_guides
-from feedloom.params import RunParams, instant
+from feedloom.params import RunParams, instant, utc
 from feedloom.plans.prefilter import prefilter
 from feedloom.sources.digests import digest_archive, digest_sink, latest_digest
 from feedloom.sources.history import HistoryLog, HistoryStore
+from feedloom.sources.replies import model_json_rejects
 from feedloom.sources.topics import topic_rotation
 from feedloom.storage import materialize
 
@@ -69,31 +70,31 @@ def daily_run(
     run = ["profile", "run_date"]
     candidates = materialize(prefilter(items, history.read(params.now, params.history_days), limits, skip, params), "candidates")
     scored, answers = score_and_tag(
-        candidates, factory, models["filter"], reader, ["source_feed"], "rank", **call
+        candidates, factory, models["filter"], reader, ["feed_rank", "source_feed"], "rank", **call
     )
     scored = materialize(scored, "scored")
-    if scored.isEmpty() and not candidates.isEmpty():
-        raise RuntimeError("no reply of the filter step could be read")
+    if not model_json_rejects(answers, ["feed_rank", "source_feed", "batch_no"]).isEmpty():
+        raise RuntimeError("a reply of the filter step could not be read")
     # Replies of several batches are put in feed order before they are ranked.
-    place = F.struct("source_feed", "batch_no", "pos")
+    place = F.struct("feed_rank", "source_feed", "batch_no", "pos")
     ranked = scored.select(
-        F.lit(profile).alias("profile"), F.lit(params.now).cast("date").alias("run_date"), "url", "title",
+        F.lit(profile).alias("profile"), F.lit(utc(params.now).date()).alias("run_date"), "url", "title",
         F.col("source").alias("source_feed"), "relevance_score", "justification", "content_type", place.alias("pos"),
     )
     best = materialize(top_news_guides(ranked, params.num_news, params.num_guides, run), "selected")
     enriched, used = enrich(best, context, factory, models["summary"], models["analysis"], [*run, "kind", "rank"], **call)
     enriched = materialize(enriched, "enriched")
     this_run = spark.range(1).select(
-        F.lit(profile).alias("profile"), F.lit(params.now).cast("date").alias("run_date")
+        F.lit(profile).alias("profile"), F.lit(utc(params.now).date()).alias("run_date")
     )
     earlier = _run_days(spark, archive, profile)
     days = this_run if earlier is None else this_run.unionByName(earlier)
     topic = topic_rotation(days, topics).join(this_run, run, "left_semi")
     tutorials = generate_tutorial(topic, factory, models["tutorial"], run, **call)
     digest = digests_of(enriched, run, tutorials, this_run)
-    digest_sink(digest.withColumn("created_at", F.lit(params.now)), archive)
+    digest_sink(digest.withColumn("created_at", instant(params.now)), archive)
     history.upsert(enriched.select("url"), params.now, params.history_days)
-    usage = [usage_rows(a.withColumn("run_id", F.lit(f"{profile}/{params.now:%Y-%m-%d}")), "run_id") for a in (answers, used, tutorials)]
+    usage = [usage_rows(a.withColumn("run_id", F.lit(f"{profile}/{utc(params.now):%Y-%m-%d}")), "run_id") for a in (answers, used, tutorials)]
     return usage[0].unionByName(usage[1]).unionByName(usage[2])
 
 

@@ -19,7 +19,7 @@ def unused_recent(items: DataFrame, history: DataFrame, skip: DataFrame, params:
 def limited(items: DataFrame, history: DataFrame, limits: DataFrame, skip: DataFrame, params: RunParams) -> DataFrame:
     """Candidates before the dedup across feeds, with their ``rank`` in the feed."""
     fresh = unused_recent(items, history, skip, params)
-    return newest_per_feed(fresh, limits, params.default_limit, params.max_limit)
+    return newest_per_feed(fresh, limits, params.default_limit)
 
 
 def prefilter(items: DataFrame, history: DataFrame, limits: DataFrame, skip: DataFrame, params: RunParams) -> DataFrame:

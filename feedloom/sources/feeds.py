@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.functions import chain
 from feedloom.functions.text import or_default, strip
 from feedloom.operators.items import item_normalize
 
@@ -22,6 +23,8 @@ _ENTRY = (
     "pubDate STRING, published STRING, issued STRING, updated STRING, modified STRING, `dc:date` STRING, "
     "description STRING, summary STRING, content STRING, `content:encoded` STRING, _corrupt_record STRING"
 )
+# The prefix of entries that stand in a namespace by name.
+_PREFIX = r"<([A-Za-z][A-Za-z0-9_.-]*):(?:item|entry)[\s>]"
 # References XML itself does not know stay as text for html_unescape.
 _FOREIGN_REFERENCE = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)"
 
@@ -54,7 +57,7 @@ def feed_scan(bodies: DataFrame) -> DataFrame:
 def feed_entries(bodies: DataFrame) -> DataFrame:
     # Parsed before they are exploded: a filter on a parsed column would parse again.
     entries = F.transform(
-        _pieces(F.col("body")), lambda piece: F.from_xml(F.regexp_replace(piece, _FOREIGN_REFERENCE, "&amp;"), _ENTRY)
+        chain(F.col("body"), _plain_sections, _unprefixed, _pieces), lambda piece: F.from_xml(F.regexp_replace(piece, _FOREIGN_REFERENCE, "&amp;"), _ENTRY)
     )
     parsed = bodies.select(
         F.col("feed_url").alias("source_feed"), "feed_rank", F.posexplode(entries).alias("entry_pos", "e")
@@ -73,6 +76,31 @@ def feed_entries(bodies: DataFrame) -> DataFrame:
     )
 
 
+def _plain_sections(body: Column) -> Column:
+    """CDATA sections as escaped text, so that markup and references inside them are text to what follows."""
+    opened = F.split(body, r"<!\[CDATA\[")
+
+    def closed(part: Column) -> Column:
+        end = F.locate("]]>", part)
+        text = F.substring(part, F.lit(1), end - 1)
+        for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            text = F.replace(text, F.lit(raw), F.lit(escaped))
+        return F.when(end > 0, F.concat(text, F.substring(part, end + 3, F.length(part)))).otherwise(part)
+
+    plain = chain(opened, lambda parts: F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), closed), "")))
+    return F.when(F.contains(body, F.lit("<![CDATA[")), plain).otherwise(body)
+
+
+def _unprefixed(body: Column) -> Column:
+    """A feed whose entries carry a prefix, without that prefix."""
+
+    def drop(prefix: Column) -> Column:
+        opening = F.replace(body, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<"))
+        return F.when(prefix == "", body).otherwise(F.replace(opening, F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</")))
+
+    return chain(F.regexp_extract(body, _PREFIX, 1), drop)
+
+
 def _pieces(body: Column) -> Column:
     """Complete entries in document order; an entry without its end is left out."""
     cut = F.transform(F.split(body, _START), lambda part: F.regexp_extract(part, _WHOLE, 0))

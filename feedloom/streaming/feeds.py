@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.operators.joins import link_key
+from feedloom.operators.selection import content_key
 from feedloom.params import RunParams
 from feedloom.plans.prefilter import prefilter
 from feedloom.sources.feeds import feed_scan, read_bodies
 from feedloom.sources.history import HistoryLog, HistoryStore
-from feedloom.storage import fresh_path
 
 
 def stream_items(spark: SparkSession, root: str) -> DataFrame:
@@ -31,7 +31,7 @@ def stream_dedup(items: DataFrame, days: int = 7, seen: str = "seen_at") -> Data
 
     The clock is arrival, not use in a digest: an approximation of the history rule.
     """
-    keyed = items.withColumn("_key", link_key(F.col("link"), F.concat_ws("/", "source_feed", "entry_pos")))
+    keyed = items.withColumn("_key", link_key(F.col("link"), F.concat_ws("/", "source_feed", "entry_pos", content_key(items.columns))))
     return keyed.withWatermark(seen, f"{days} days").dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
@@ -68,10 +68,12 @@ def stream_daily(
     )
 
 
-def run_available(stream: DataFrame, name: str, write: Callable[[DataFrame, int], None] | None = None) -> str:
-    """Process what has landed, then stop. Returns the folder the rows went to."""
-    spark = stream.sparkSession
-    base = fresh_path(spark, name)
+def run_available(stream: DataFrame, base: str, write: Callable[[DataFrame, int], None] | None = None) -> str:
+    """Process what has landed since the last call with this folder, then stop. Returns the folder the rows went to.
+
+    ``base`` lasts: it holds the checkpoint, so the next call goes on where this one
+    ended, with its state, and days still open come out once they are past the watermark.
+    """
     sink = stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
     if write is None:
         query: StreamingQuery = sink.format("parquet").option("path", f"{base}/rows").outputMode("append").start()
