@@ -24,8 +24,8 @@ PAD = END * ORDER
 # Bytes a coded text can hold: all but the blanks that never stand in it.
 SYMBOLS = 252
 # So many of the most frequent keys, at most, are sent to every task.
-FREQUENT_GRAMS = 1 << 21
-FREQUENT_WORDS = 1 << 20
+FREQUENT_GRAMS = 1 << 19
+FREQUENT_WORDS = 1 << 18
 # Keys a task gathers before it counts them and hands them on.
 GATHERED = 1 << 22
 
