@@ -43,7 +43,7 @@ def stream_resume(spark, d):
 SELECT DISTINCT link FROM v_items WHERE link IS NOT NULL UNION ALL SELECT link FROM v_items WHERE link IS NULL"""))
 def stream_dedup(spark, d):
     seen = arriving_items(spark, d).withColumn("seen_at", F.coalesce("published", F.lit(NOW)))
-    rows = feeds.run_available(feeds.stream_dedup(seen).select("link"), "stream-dedup")
+    rows = feeds.run_available(feeds.stream_dedup(seen).select("link"), fresh_path(spark, "stream-dedup"))
     return spark.read.schema("link STRING").parquet(rows)
 
 
