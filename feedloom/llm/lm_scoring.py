@@ -186,8 +186,10 @@ def lm_score(docs: DataFrame, held_out: Column) -> DataFrame:
     values = gram_values(gram_counts).join(gram_counts, "key").unionByName(word_values)
     values = materialize(values.select("key", "value", "n"), "values")
     frequent = F.col("n") >= F.when(is_word, least_count(counts.filter(is_word), FREQUENT_WORDS)).otherwise(least_count(gram_counts, FREQUENT_GRAMS))
-    few = values.filter(frequent).select("key", "value").toPandas()
-    shared = docs.sparkSession.sparkContext.broadcast((KeyTable(few["key"].to_numpy(np.int64).view(np.uint64)), few["value"].to_numpy()))
+    # Arrow columns, not rows: a row object takes some ten times the bytes of its two numbers.
+    few = values.filter(frequent).select("key", "value").toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast((KeyTable(few["key"].to_numpy().view(np.uint64)), few["value"].to_numpy()))
+    del few
     names = ["doc_id", "held_out", "text_hash", "key", "times", "copies", "n_tokens", "n_known", "base_score", "score"]
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
