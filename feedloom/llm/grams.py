@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Rows a Python worker takes up at a time, so that its memory does not follow the size of an Arrow batch.
 ROWS = 256
@@ -17,6 +18,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
             yield batch.slice(start, rows)
 
 
+def stretches_of_bytes(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes of a binary column, a row at least, so that a few arrays over them stay in the processor's cache."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, base + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
 
 def stream(texts: list[bytes], pad: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array, each after a pad; where each begins and ends."""
@@ -36,11 +48,13 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
 
 def mix(keys: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads near ones (the finaliser of SplitMix64)."""
-    x = keys ^ (keys >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x = keys >> np.uint64(30)
+    x ^= keys
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    high = x >> np.uint64(27)
+    x ^= high
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=high) if high.ndim else x >> np.uint64(31)
     return x
 
 

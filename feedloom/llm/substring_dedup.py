@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from feedloom.llm.common import whole
-from feedloom.llm.grams import mix, slices
+from feedloom.llm.grams import mix, slices, stretches_of_bytes
 from feedloom.llm.suffix_arrays import repeated_starts
 from feedloom.storage import materialize
 
@@ -73,7 +73,7 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
     """shard: one row for each place whose gram gives a window its shard."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(tables):
+        for batch in stretches_of_bytes(tables):
             data, starts, ends = _joined(batch.column("text").to_pylist())
             hashes, shards, valid = window_shards(data, ends, starts, length)
             width = length - GRAM + 1
@@ -89,7 +89,7 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
     """shard, content (a hash), doc_id, start, windows: each run of windows of one shard."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(tables):
+        for batch in stretches_of_bytes(tables):
             texts = batch.column("text").to_pylist()
             data, starts, ends = _joined(texts)
             _, shards, valid = window_shards(data, ends, starts, length)

@@ -99,7 +99,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     ordered = rough[is_start[rough]]
     names = _names(text, starts, ordered)
     rank, span = names, 1
-    while span * 2 < depth + 2 and len(np.unique(rank)) < len(rank):
+    while span * 2 < depth + 2 and rank.max() + 1 < len(rank):
         following = np.zeros(len(rank), dtype=np.int64)
         following[:-span] = rank[span:] + 1 if span < len(rank) else 0
         _, rank = np.unique(rank * (len(rank) + 2) + following, return_inverse=True)
