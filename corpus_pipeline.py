@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that a source repeats on more than a tenth of its documents go."""
+    """Lines that a source repeats in more than a tenth of its distinct texts go from all but the first."""
     return line_dedup.without_boilerplate(docs)
 
 

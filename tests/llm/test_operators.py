@@ -120,3 +120,26 @@ def test_pipeline(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == set(range(30))
     assert all(n & (n - 1) == 0 for n in Counter({s: sum(r.length for r in packed if r.sequence_id == s) for s in {r.sequence_id for r in packed}}).values())
+
+
+DOCS = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+
+
+def prose(seed, lines=8):
+    """Lines of twelve words that no other seed has."""
+    return [" ".join(f"w{seed}x{i}x{j}" for j in range(12)) for i in range(lines)]
+
+
+def as_docs(spark, texts, source="s"):
+    return spark.createDataFrame([(i, t, "en", source, len(t)) for i, t in texts], DOCS)
+
+
+def test_a_group_of_copies_keeps_its_text(spark):
+    copy, common = "\n".join(prose("c")), "one footer on every page"
+    texts = [(i, copy) for i in range(20)] + [(i, "\n".join([*prose(i), common])) for i in range(20, 60)]
+    got = {r.doc_id: r for r in line_dedup.without_boilerplate(as_docs(spark, texts)).collect()}
+    assert all(got[i].text == copy and got[i].n_chars == len(copy) for i in range(20))
+    assert [i for i in range(20, 60) if common in got[i].text] == [20]
+    assert got[21].text == "\n".join(prose(21)) and got[21].n_chars == len(got[21].text)
+    rest = near_dedup.one_of_each(line_dedup.without_boilerplate(as_docs(spark, texts))).collect()
+    assert sum(copy == r.text for r in rest) == 1 and len(rest) == 41
