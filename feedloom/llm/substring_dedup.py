@@ -121,7 +121,9 @@ def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "doc_id", "start", "piece"])
 
     of_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("shard", "start", "windows")).alias("wanted"))
-    return docs.join(of_doc, "doc_id").select("doc_id", "text", "wanted").mapInArrow(
+    # Rows of one doc_id are one document: its pieces are cut once, or they would repeat themselves.
+    once = docs.join(of_doc, "doc_id").select("doc_id", "text", "wanted").dropDuplicates(["doc_id"])
+    return once.mapInArrow(
         batches, "shard long, doc_id long, start long, piece binary"
     )
 
@@ -217,7 +219,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
     # One exchange of the texts, which both joins use.
     by_id = named.repartition("doc_id")
-    spans = repeats(named, by_id, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    spans = repeats(named, by_id, length).groupBy("doc_id").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(tables):

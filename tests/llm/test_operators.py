@@ -143,3 +143,31 @@ def test_a_group_of_copies_keeps_its_text(spark):
     assert got[21].text == "\n".join(prose(21)) and got[21].n_chars == len(got[21].text)
     rest = near_dedup.one_of_each(line_dedup.without_boilerplate(as_docs(spark, texts))).collect()
     assert sum(copy == r.text for r in rest) == 1 and len(rest) == 41
+
+
+def removed_by_force(texts, length):
+    """doc_id -> bytes that a window covers which begins earlier."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(texts.items()):
+        data, gone = text.encode(), set()
+        for i in range(len(data) - length + 1):
+            if data[i:i + length] in seen:
+                gone.update(range(i, i + length))
+            seen.add(data[i:i + length])
+        out[doc_id] = gone
+    return out
+
+
+@pytest.mark.parametrize("large", [4096, 0])
+def test_repeated_rows_keep_their_first_passage(spark, monkeypatch, large):
+    monkeypatch.setattr(substring_dedup, "LARGE", large)
+    a, b = "\n".join(prose("a", 3)), "\n".join(prose("b", 3))
+    texts = {1: a + " one " + b, 2: "two " + a + " again " + a, 3: b + " three", 4: "\n".join(prose("d", 3))}
+    rows = [(i, t) for i, t in texts.items() for _ in range(3 if i in (1, 2) else 1)]
+    got = substring_dedup.substring_dedup(as_docs(spark, rows)).collect()
+    expected = removed_by_force(texts, substring_dedup.LENGTH)
+    assert Counter(r.doc_id for r in got) == {1: 3, 2: 3, 3: 1, 4: 1}
+    for r in got:
+        left = bytes(c for i, c in enumerate(texts[r.doc_id].encode()) if i not in expected[r.doc_id])
+        assert (r.doc_id, r.n_removed, bytes(r.kept)) == (r.doc_id, len(expected[r.doc_id]), left)
+    assert not expected[1] and expected[2] and expected[3]
