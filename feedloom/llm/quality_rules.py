@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import BLANK, match, whole, words, worded_lines
+from feedloom.storage import materialize
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+MAX_SHARE = 0.05
+MIN_DOCUMENTS = 10
+MAX_REMOVED = 0.5
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -74,12 +78,15 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed).select(F.inline(F.array(F.struct("*"))))
 
 
+def plain_line(line: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(line, BLANK + "+", " ")))
+
+
 def document_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, host, line_hash, n_line_words: each distinct normalised line of a document once."""
     text = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), whole(F.col("text")).alias("_text"))
     rows = text.select("doc_id", "host", F.xxhash64("_text").alias("text_hash"), F.explode(worded_lines(F.col("_text"))).alias("_line"))
-    plain = F.lower(F.trim(F.regexp_replace("_line", BLANK + "+", " ")))
-    lines = rows.select("doc_id", "host", "text_hash", plain.alias("_plain"))
+    lines = rows.select("doc_id", "host", "text_hash", plain_line(F.col("_line")).alias("_plain"))
     n_words = F.length("_plain") - F.length(F.replace(F.col("_plain"), F.lit(" "), F.lit(""))) + 1
     return lines.select(
         "doc_id", "host", "text_hash", F.xxhash64("_plain").alias("line_hash"), n_words.cast("long").alias("n_line_words")
@@ -93,8 +100,46 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, max_share: float, min_doc
     return joined.filter(F.col("_n") > max_share * F.col("host_documents")).select("host", "line_hash")
 
 
+def first_holders(frequent: DataFrame, lines: DataFrame, passed: DataFrame) -> DataFrame:
+    """host, line_hash, owner: the text_hash of the smallest doc_id in ``passed`` that holds a frequent line; NULL if none does."""
+    holders = match(lines.join(frequent, ["host", "line_hash"]), passed, ["doc_id", "text_hash"], "left_semi")
+    first = holders.groupBy("host", "line_hash").agg(F.min(F.struct("doc_id", "text_hash"))["text_hash"].alias("owner"))
+    return frequent.join(first, ["host", "line_hash"], "left")
+
+
+def marked_lines(docs: DataFrame, max_share: float, min_documents: int, passed: DataFrame | None = None) -> DataFrame:
+    """The rows of ``document_lines`` and whether the line goes: it is frequent, and its first holder has another text."""
+    lines = document_lines(docs)
+    hosts = (
+        docs.select(F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(whole(F.col("text"))).alias("text_hash"))
+        .distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    )
+    frequent = frequent_lines(lines, hosts, max_share, min_documents)
+    if passed is None:
+        owned = frequent.withColumn("owner", F.lit(None).cast("long"))
+    else:
+        owned = first_holders(frequent, lines, passed)
+    goes = F.coalesce("_frequent", F.lit(False)) & ~F.col("owner").eqNullSafe(F.col("text_hash"))
+    return lines.join(owned.withColumn("_frequent", F.lit(True)), ["host", "line_hash"], "left").select(*lines.columns, goes.alias("goes"))
+
+
+def _shares(marked: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    removed = F.sum(F.when(F.col("goes"), F.col("n_line_words")).otherwise(0))
+    return marked.groupBy(*keys).agg(removed.alias("n_removed_words"), F.sum("n_line_words").alias("_line_words"), *more)
+
+
+def _judged(base: DataFrame, share: DataFrame, max_removed: float) -> DataFrame:
+    joined = match(base, share, ["doc_id", "text_hash"]).select(
+        *base.columns,
+        F.coalesce("n_removed_words", F.lit(0)).cast("long").alias("n_removed_words"),
+        F.coalesce("_line_words", F.lit(0)).alias("_line_words"),
+    )
+    depleted = F.col("n_removed_words") > max_removed * F.col("_line_words")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_line_words")
+
+
 def quality_rules(
-    docs: DataFrame, max_share: float = 0.05, min_documents: int = 10, max_removed: float = 0.5
+    docs: DataFrame, max_share: float = MAX_SHARE, min_documents: int = MIN_DOCUMENTS, max_removed: float = MAX_REMOVED,
 ) -> DataFrame:
     """One row per document: its counts, ``base_failed`` and ``kept``.
 
@@ -109,29 +154,21 @@ def quality_rules(
     other. Other columns play no part.
     """
     base = base_rules(docs).distinct()
-    lines = document_lines(docs)
-    hosts = (
-        docs.select(F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(whole(F.col("text"))).alias("text_hash"))
-        .distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
-    )
-    frequent = frequent_lines(lines, hosts, max_share, min_documents).withColumn("_frequent", F.lit(True))
-    removed = F.sum(F.when(F.col("_frequent"), F.col("n_line_words")).otherwise(0))
-    share = (
-        lines.join(frequent, ["host", "line_hash"], "left").groupBy("doc_id", "text_hash")
-        .agg(removed.alias("n_removed_words"), F.sum("n_line_words").alias("_line_words"))
-    )
-    joined = match(base, share, ["doc_id", "text_hash"]).select(
-        *base.columns,
-        F.coalesce("n_removed_words", F.lit(0)).cast("long").alias("n_removed_words"),
-        F.coalesce("_line_words", F.lit(0)).alias("_line_words"),
-    )
-    depleted = F.col("n_removed_words") > max_removed * F.col("_line_words")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_line_words")
+    share = _shares(marked_lines(docs, max_share, min_documents), ["doc_id", "text_hash"])
+    return _judged(base, share, max_removed)
+
 
+def passing(
+    docs: DataFrame, max_share: float = MAX_SHARE, min_documents: int = MIN_DOCUMENTS, max_removed: float = MAX_REMOVED,
+) -> DataFrame:
+    """The documents that the rules keep, with their columns; the text is hashed once more to find each row's verdict.
 
-def passing(docs: DataFrame, **limits: float) -> DataFrame:
-    """The documents that the rules keep, with their columns; the text is hashed once more to find each row's verdict."""
-    verdict = quality_rules(docs, **limits).filter("kept").select("doc_id", "text_hash")
+    Unlike in ``quality_rules``, a frequent line counts as removed in all documents but the first that passes the base
+    rules (the smallest doc_id) and that one's copies, so near copies do not condemn the text they share.
+    """
+    base = materialize(base_rules(docs).distinct(), "base_rules")
+    marked = marked_lines(docs, max_share, min_documents, base.filter("NOT base_failed").select("doc_id", "text_hash"))
+    verdict = _judged(base, _shares(marked, ["doc_id", "text_hash"]), max_removed).filter("kept").select("doc_id", "text_hash")
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole(F.col("text"))).alias("text_hash"))
     return match(rows, verdict, ["doc_id", "text_hash"], "left_semi").select("row.*")
 

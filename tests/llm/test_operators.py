@@ -171,3 +171,12 @@ def test_repeated_rows_keep_their_first_passage(spark, monkeypatch, large):
         left = bytes(c for i, c in enumerate(texts[r.doc_id].encode()) if i not in expected[r.doc_id])
         assert (r.doc_id, r.n_removed, bytes(r.kept)) == (r.doc_id, len(expected[r.doc_id]), left)
     assert not expected[1] and expected[2] and expected[3]
+
+
+def test_near_copies_do_not_condemn_their_text(spark):
+    shared = prose("n")
+    texts = [(i, "\n".join([*shared, f"copy number{i}"])) for i in range(200)] + [(i, "\n".join(prose(i))) for i in range(200, 500)]
+    texts.append((-1, shared[0]))
+    got = {r.doc_id: r.text for r in quality_rules.passing(as_docs(spark, texts)).collect()}
+    assert set(got) == {0, *range(200, 500)}
+    assert got[0] == texts[0][1]
