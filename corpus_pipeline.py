@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and frequent lines from all but the first document of their source."""
     return quality_rules.passing(docs)
 
 

@@ -161,16 +161,31 @@ def quality_rules(
 def passing(
     docs: DataFrame, max_share: float = MAX_SHARE, min_documents: int = MIN_DOCUMENTS, max_removed: float = MAX_REMOVED,
 ) -> DataFrame:
-    """The documents that the rules keep, with their columns; the text is hashed once more to find each row's verdict.
+    """The documents that the rules keep, with their columns, without frequent lines; ``n_chars`` follows the text.
 
     Unlike in ``quality_rules``, a frequent line counts as removed in all documents but the first that passes the base
-    rules (the smallest doc_id) and that one's copies, so near copies do not condemn the text they share.
+    rules (the smallest doc_id) and that one's copies, so near copies do not condemn the text they share, and no line
+    vanishes with those it is removed from. The text is hashed once more to find each row's verdict.
     """
     base = materialize(base_rules(docs).distinct(), "base_rules")
     marked = marked_lines(docs, max_share, min_documents, base.filter("NOT base_failed").select("doc_id", "text_hash"))
-    verdict = _judged(base, _shares(marked, ["doc_id", "text_hash"]), max_removed).filter("kept").select("doc_id", "text_hash")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole(F.col("text"))).alias("text_hash"))
-    return match(rows, verdict, ["doc_id", "text_hash"], "left_semi").select("row.*")
+    gone = F.collect_set(F.when(F.col("goes"), F.col("line_hash"))).alias("gone")
+    by_host = materialize(_shares(marked, ["doc_id", "text_hash", "host"], gone), "line_shares")
+    share = by_host.groupBy("doc_id", "text_hash").agg(F.sum("n_removed_words").alias("n_removed_words"), F.sum("_line_words").alias("_line_words"))
+    kept = _judged(base, share, max_removed).filter("kept").select("doc_id", "text_hash")
+    verdict = match(by_host, kept, ["doc_id", "text_hash"], "left_semi").select("doc_id", "text_hash", "host", "gone")
+    rows = docs.select(
+        F.struct("*").alias("row"), "doc_id", F.xxhash64(whole(F.col("text"))).alias("text_hash"),
+        F.coalesce("source", F.lit("")).alias("host"),
+    )
+    joined = match(rows, verdict, ["doc_id", "text_hash", "host"], "inner")
+    left = F.filter(F.split("row.text", "\n"), lambda line: ~F.array_contains("gone", F.xxhash64(plain_line(line))))
+    texts = joined.select("row", F.when(F.size("gone") > 0, F.array_join(left, "\n")).alias("_left"))
+    new = {
+        "text": F.coalesce("_left", "row.text").alias("text"),
+        "n_chars": F.coalesce(F.length("_left").cast("long"), "row.n_chars").alias("n_chars"),
+    }
+    return texts.select(*[new.get(c, F.col(f"row.`{c}`").alias(c)) for c in docs.columns])
 
 
 SQL = r"""

@@ -180,3 +180,14 @@ def test_near_copies_do_not_condemn_their_text(spark):
     got = {r.doc_id: r.text for r in quality_rules.passing(as_docs(spark, texts)).collect()}
     assert set(got) == {0, *range(200, 500)}
     assert got[0] == texts[0][1]
+
+
+def test_frequent_lines_are_removed(spark):
+    footer = "one footer on every page"
+    texts = [(i, "\n".join([*prose(i)[:4], "", " One  footer on every PAGE", *prose(i)[4:]])) for i in range(40)]
+    rows = as_docs(spark, texts).unionByName(as_docs(spark, [(99, "\n".join([*prose(99), footer]))], "another"))
+    got = {r.doc_id: r for r in quality_rules.passing(rows).collect()}
+    assert set(got) == {*range(40), 99}
+    assert got[0].text == texts[0][1] and got[99].text.endswith(footer)
+    for i in range(1, 40):
+        assert got[i].text == "\n".join([*prose(i)[:4], "", *prose(i)[4:]]) and got[i].n_chars == len(got[i].text)
