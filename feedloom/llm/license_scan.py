@@ -67,6 +67,35 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
+# Whole licences of moderate length, which the SQL does not know; without the copyright line.
+FULL_TEXTS: dict[str, tuple[str, ...]] = {
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND "
+        "ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY "
+        "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS "
+        "BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT "
+        "NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+        "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    "MIT": (
+        TEMPLATES["MIT"][2] + " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+        "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+}
+ALL_FORMS = {name: texts + FULL_TEXTS.get(name, ()) for name, texts in TEMPLATES.items()}
+
+
 def normal_words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -98,7 +127,7 @@ def _dice(pairs: Column, template: str, min_dice: float) -> Column:
 
 
 def license_scan(
-    docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, min_dice: float = MIN_DICE
+    docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = ALL_FORMS, min_dice: float = MIN_DICE
 ) -> DataFrame:
     """doc_id, line, license, dice: each licence whose best template form a line reaches with ``min_dice`` or more.
 

@@ -191,3 +191,10 @@ def test_frequent_lines_are_removed(spark):
     assert got[0].text == texts[0][1] and got[99].text.endswith(footer)
     for i in range(1, 40):
         assert got[i].text == "\n".join([*prose(i)[:4], "", *prose(i)[4:]]) and got[i].n_chars == len(got[i].text)
+
+
+def test_whole_licences_are_found(spark):
+    texts = [(i, f"Copyright (c) 2020 Some Owner\n\n{license_scan.FULL_TEXTS[name][0].replace('. ', '.' + chr(10))}") for i, name in enumerate(("MIT", "BSD-3-Clause"))]
+    got = license_scan.license_scan(as_docs(spark, texts)).filter("line = -1").collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(0, "MIT"), (1, "BSD-3-Clause")]
+    assert not license_scan.license_scan(as_docs(spark, texts), license_scan.TEMPLATES).filter("line = -1").count()
