@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import bpe, language_id, license_scan, line_dedup, lm_scoring, near_dedup, neighbours, packing, quality_rules, substring_dedup
+from feedloom.llm import (
+    alignment, bpe, centroids, decontamination, language_id, license_scan, line_dedup, lm_scoring, near_dedup, neighbours, packing,
+    quality_rules, substring_dedup,
+)
 from feedloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digests(decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_lm_scoring": op2_lm_scoring,
@@ -72,10 +88,15 @@ QUERIES: dict[str, Query] = {
     "op8_hilbert_packing": op8_hilbert_packing,
     "op9_language_id": op9_language_id,
     "op10_near_dedup": op10_near_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_decontamination": op12_decontamination,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.SQL,
     "op6_line_dedup": line_dedup.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op12_decontamination": decontamination.SQL,
+    "op13_centroid_clusters": centroids.SQL,
 }
