@@ -147,7 +147,9 @@ def _middle_out(a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray)
         keep = at >= low[open_]
         open_, at = open_[keep], at[keep]
         wanted = a[at]
-        there = b[np.maximum(np.searchsorted(b, wanted, "right") - 1, 0)]
+        before = np.searchsorted(b, wanted, "right") - 1
+        # Before the first token of B there is only the start of all texts.
+        there = np.where(before >= 0, b[before], 0)
         same = there == wanted
         found[open_[same]] = at[same]
         open_, at = open_[~same], np.searchsorted(a, there[~same], "right") - 1
