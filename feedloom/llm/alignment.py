@@ -9,7 +9,7 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 
 from feedloom.llm.common import whole
 from feedloom.llm.grams import KeyTable, counted, stretches_of_bytes
-from feedloom.storage import materialize
+from feedloom.storage import fresh_path, materialize
 
 # An id pair is one number: the A id above so many bits of the B id.
 SHIFT = 32
@@ -72,22 +72,25 @@ class Tokens:
 
     def __init__(self, a_path: str, a_ranks: str | None, b_path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        of = _byte_of_character()
-        vocabulary = {i: bytes(of[c] for c in token) for token, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in of for c in token)}
-        self.a_bytes = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
-        self.fast = None
+        self.a_path, self.fast = a_path, None
         if a_ranks:
             with open(a_ranks, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            known = {i: token for token, i in ranks.items()}
+        else:
+            of = _byte_of_character()
+            known = {i: bytes(of[c] for c in token) for token, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in of for c in token)}
+        self.a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
         self.b = SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [_piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_length, self.b_length = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (self.a_bytes, self.b_bytes))
-        # Ids in decimal, followed by each of the separators of the digest.
-        self.a_text, self.b_text = (
-            np.array([f"{i}{mark}" for mark in marks for i in range(len(x))] + [""], dtype=object)[:-1] for x, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
+
+    @cached_property
+    def a(self) -> Tokenizer:
+        """Read only when a text needs it."""
+        a = Tokenizer.from_file(self.a_path)
+        a.encode_special_tokens = True
+        return a
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of blank + text by A, of text by B (which adds the blank); none where either's bytes are not blank + text."""
@@ -98,8 +101,9 @@ class Tokens:
         for i, t in enumerate(spaced):
             if i not in slow:
                 a[i] = self.fast.encode_ordinary(t)
-        for i, encoded in zip(odd, self.a.encode_batch_fast([spaced[i] for i in odd], add_special_tokens=False)):
-            a[i] = encoded.ids
+        if odd:
+            for i, encoded in zip(odd, self.a.encode_batch_fast([spaced[i] for i in odd], add_special_tokens=False)):
+                a[i] = encoded.ids
         b = self.b.encode(texts, num_threads=1)
         for i, t in enumerate(spaced):
             data = t.encode()
@@ -121,6 +125,13 @@ def _piece(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
+class Lengths:
+    """How many bytes stand behind each id; small enough to go to every task, which then needs no tokenizer."""
+
+    def __init__(self, both: Tokens) -> None:
+        self.a, self.b = (np.fromiter(map(len, x), dtype=np.int32, count=len(x)) for x in (both.a_bytes, both.b_bytes))
+
+
 @lru_cache(maxsize=1)
 def tokens(a_path: str, a_ranks: str | None, b_path: str) -> Tokens:
     return Tokens(a_path, a_ranks, b_path)
@@ -177,51 +188,83 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, lasts: np.ndarray) -> np.ndarray:
         low, high = np.concatenate([low, at + 1]), np.concatenate([at, high])
 
 
+# Ids in two bytes where the vocabularies allow it.
+def _width(ids: int) -> str:
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
+ALIGNED = "doc_id long, a binary, b binary, a_cuts binary, b_cuts binary"
+
+
 def align(docs: DataFrame, a_path: str, a_ranks: str | None, b_path: str) -> DataFrame:
-    """doc_id, a, b (ids), a_ends, b_ends (how many A and B tokens lie before the end of each group) of every row.
+    """doc_id, a, b, a_cuts, b_cuts of every row: ids of both sides, little-endian, and a bit for each token that ends a group.
 
     NULL and empty texts, and texts that either tokenizer does not give back byte by byte, have no tokens. Every row gives a row,
     also repeated ones and those without doc_id. ``a_ranks`` may name the same vocabulary as ``a_path`` in ranks, which is faster; texts
-    with characters on which the libraries could differ are left to the first. Other columns play no part.
+    with characters on which the libraries could differ are left to the first. Other columns play no part. ``groups`` spells the result out.
     """
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokens(a_path, a_ranks, b_path)
+        length = Lengths(both)
         for batch in stretches_of_bytes(tables, size=STRETCH):
             a_ids, b_ids = both.encode([t.decode() for t in batch.column("text").to_pylist()])
             a, b = _flat(a_ids), _flat(b_ids)
             n_a, n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (a_ids, b_ids))
-            ends, of_b = np.cumsum(both.a_length[a]), np.cumsum(both.b_length[b])
-            last = np.cumsum(n_a)
-            cuts = shared_cuts(ends, of_b, last[n_a > 0] - 1)
-            text = np.searchsorted(last, cuts, "right")
-            rows = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            a_ends = cuts + 1 - (last - n_a)[text]
-            b_ends = np.searchsorted(of_b, ends[cuts]) + 1 - (np.cumsum(n_b) - n_b)[text]
+            a_ends, b_ends = np.cumsum(length.a[a]), np.cumsum(length.b[b])
+            a_last, b_last = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+            cuts = shared_cuts(a_ends, b_ends, np.cumsum(n_a)[n_a > 0] - 1)
+            a_last[cuts] = True
+            b_last[np.searchsorted(b_ends, a_ends[cuts])] = True
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), _lists(a, _edges(n_a)), _lists(b, _edges(n_b)), _lists(a_ends, rows), _lists(b_ends, rows),
-            ], ["doc_id", "a", "b", "a_ends", "b_ends"])
+                batch.column("doc_id"), *[_cells(x.astype(_width(len(of))), n) for x, n, of in ((a, n_a, length.a), (b, n_b, length.b))],
+                *[_cells(x, n, np.packbits) for x, n in ((a_last, n_a), (b_last, n_b))],
+            ], ["doc_id", "a", "b", "a_cuts", "b_cuts"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
-    return text.mapInArrow(batches, "doc_id long, a array<int>, b array<int>, a_ends array<int>, b_ends array<int>")
+    return text.mapInArrow(batches, ALIGNED)
 
 
 def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.fromiter((i for ids in lists for i in ids), dtype=np.int64, count=sum(map(len, lists)))
 
 
-def _edges(counts: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(counts)])
+def _cells(values: np.ndarray, counts: np.ndarray, pack=lambda x: x) -> pa.Array:
+    edges = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    return pa.array([pack(values[start:end]).tobytes() for start, end in zip(edges, edges[1:])], pa.binary())
+
 
+def _ids(batch: pa.RecordBatch, name: str, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column, and how many each row has."""
+    width, cells = _width(len(of)), batch.column(name).to_pylist()
+    n = np.fromiter(map(len, cells), dtype=np.int64, count=len(cells)) // np.dtype(width).itemsize
+    return np.frombuffer(b"".join(cells), dtype=width).astype(np.int64), n
 
-def _lists(values: np.ndarray, edges: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values.astype(np.int32)))
 
+def _cuts(batch: pa.RecordBatch, name: str, counts: np.ndarray) -> np.ndarray:
+    bits = [np.unpackbits(np.frombuffer(cell, dtype=np.uint8), count=n) for cell, n in zip(batch.column(name).to_pylist(), counts.tolist())]
+    return np.concatenate(bits).astype(np.int64) if bits else np.zeros(0, dtype=np.int64)
 
-def _column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column, and how many each row has."""
-    column = batch.column(name)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+def groups(aligned: DataFrame, a_path: str, a_ranks: str | None, b_path: str) -> DataFrame:
+    """doc_id, groups (ids of both sides that cover the same bytes, in text order) of each row of an alignment."""
+    length = Lengths(tokens(a_path, a_ranks, b_path))
+
+    def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(tables):
+            of_row = []
+            sides = []
+            for name, of in (("a", length.a), ("b", length.b)):
+                ids, n = _ids(batch, name, of)
+                starts = np.cumsum(n) - n
+                cuts = _cuts(batch, f"{name}_cuts", n)
+                sides.append([np.split(ids[s:s + m], np.flatnonzero(cuts[s:s + m])[:-1] + 1) if m else [] for s, m in zip(starts, n)])
+            for of_a, of_b in zip(*sides):
+                of_row.append([{"a": x.tolist(), "b": y.tolist()} for x, y in zip(of_a, of_b)])
+            kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(of_row, kind)], ["doc_id", "groups"])
+
+    return aligned.mapInArrow(batches, "doc_id long, groups array<struct<a: array<int>, b: array<int>>>")
 
 
 def links(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,10 +277,10 @@ def links(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray)
     return a[of_a] << SHIFT | b[np.searchsorted(b_ends, ends)], of_a
 
 
-def _linked(batch: pa.RecordBatch, both: Tokens) -> tuple[np.ndarray, np.ndarray]:
+def _linked(batch: pa.RecordBatch, length: Lengths) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of a batch and the row of each."""
-    (a, n_a), (b, _) = _column(batch, "a"), _column(batch, "b")
-    pairs, of_a = links(a, b, np.cumsum(both.a_length[a]), np.cumsum(both.b_length[b]))
+    (a, n_a), (b, _) = _ids(batch, "a", length.a), _ids(batch, "b", length.b)
+    pairs, of_a = links(a, b, np.cumsum(length.a[a]), np.cumsum(length.b[b]))
     return pairs, np.searchsorted(np.cumsum(n_a), of_a, "right")
 
 
@@ -255,14 +298,13 @@ def _small(tables: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.Reco
             yield batch.slice(start, rows)
 
 
-def link_counts(aligned: DataFrame, a_path: str, a_ranks: str | None, b_path: str) -> DataFrame:
+def link_counts(aligned: DataFrame, length: Lengths) -> DataFrame:
     """pair (A id above the B id), n (in how many rows it is linked), best (no pair of its A id is in more); counted in each task first."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokens(a_path, a_ranks, b_path)
         known, total, young, size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [], 0
         for batch in _small(tables):
-            young.append(_per_row(*_linked(batch, both))[0])
+            young.append(_per_row(*_linked(batch, length))[0])
             size += len(young[-1])
             if size > 2 * COUNTED:
                 known, total = _added(known, total, young)
@@ -285,7 +327,7 @@ def _added(known: np.ndarray, total: np.ndarray, young: list[np.ndarray]) -> tup
     return merged, np.bincount(where, weights=np.concatenate([total, n]), minlength=len(merged)).astype(np.int64)
 
 
-def scored(aligned: DataFrame, counts: DataFrame, a_path: str, a_ranks: str | None, b_path: str, frequent: int = FREQUENT) -> DataFrame:
+def scored(aligned: DataFrame, counts: DataFrame, length: Lengths, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each row of a written alignment.
 
     The ``frequent`` pairs with the highest counts go to all tasks; pairs beyond them are written once for each
@@ -296,23 +338,24 @@ def scored(aligned: DataFrame, counts: DataFrame, a_path: str, a_ranks: str | No
     spread = aligned.sparkSession.sparkContext.broadcast((pair, n, best))
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokens(a_path, a_ranks, b_path)
         pair, n, best = spread.value
+        spelled = _Spelled(length)
         table = KeyTable(pair.view(np.uint64))
         # Row -1 of these is what is not in the table.
         n, best = np.append(n, 0), np.append(best, False).astype(np.int64)
         for batch in _small(tables):
             rows = batch.num_rows
-            pairs, row = _linked(batch, both)
+            pairs, row = _linked(batch, length)
             distinct, of, times = _per_row(pairs, row)
             at = table.find(distinct.view(np.uint64))
             rare = at < 0
             edges = np.searchsorted(of[rare], np.arange(rows + 1)).astype(np.int32)
             others = pa.StructArray.from_arrays([pa.array(distinct[rare]), pa.array(times[rare])], ["pair", "times"])
+            n_a, n_b, n_groups, sha256 = spelled.digests(batch)
             yield pa.RecordBatch.from_arrays([
-                batch.column("row"), batch.column("doc_id"), *[pa.array(_column(batch, c)[1]) for c in ("a", "b", "a_ends")],
+                batch.column("row"), batch.column("doc_id"), pa.array(n_a), pa.array(n_b), pa.array(n_groups),
                 pa.array(np.bincount(row, minlength=rows)), pa.array(_sums(best[at] * times, of, rows)), pa.array(_sums(n[at] * times, of, rows)),
-                pa.array(_digests(batch, both)), pa.ListArray.from_arrays(pa.array(edges), others),
+                pa.array(sha256), pa.ListArray.from_arrays(pa.array(edges), others),
             ], ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"])
 
     numbered = aligned.withColumn("row", F.monotonically_increasing_id())
@@ -333,27 +376,35 @@ def _sums(values: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
     return total[edges[1:]] - total[edges[:-1]]
 
 
-def _digests(batch: pa.RecordBatch, both: Tokens) -> list[str]:
-    """sha256 of each row's groups as text, '' without tokens."""
-    (a, n_a), (b, n_b), (a_ends, n), (b_ends, _) = (_column(batch, c) for c in ("a", "b", "a_ends", "b_ends"))
-    text = np.repeat(np.arange(len(n)), n)
-    a_last, b_last = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
-    a_at, b_at = a_ends + (np.cumsum(n_a) - n_a)[text], b_ends + (np.cumsum(n_b) - n_b)[text]
-    a_last[a_at - 1], b_last[b_at - 1] = 1, 1
-    parts = np.empty(len(a) + len(b), dtype=object)
-    # A token of A stands behind all B tokens of the groups before its own, one of B behind the A tokens of its own group too.
-    a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
-    parts[np.arange(len(a)) + np.concatenate([[0], b_at])[a_group]] = both.a_text[a + a_last * len(both.a_bytes)]
-    parts[np.arange(len(b)) + a_at[b_group]] = both.b_text[b + b_last * len(both.b_bytes)]
-    edges = _edges(n_a + n_b)
-    whole_text = parts.tolist()
-    return [
-        hashlib.sha256("".join(whole_text[start:end])[:-1].encode()).hexdigest() if end > start else ""
-        for start, end in zip(edges[:-1].tolist(), edges[1:].tolist())]
+class _Spelled:
+    """Digests of groups as text."""
+
+    def __init__(self, length: Lengths) -> None:
+        self.length = length
+        # Ids in decimal, followed by each of the separators.
+        self.a, self.b = (np.array([f"{i}{mark}" for mark in marks for i in range(len(x))], dtype=object) for x, marks in ((length.a, ",|"), (length.b, ",;")))
+
+    def digests(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """n_a, n_b, n_groups and the sha256 of the groups ('' without tokens) of each row."""
+        (a, n_a), (b, n_b) = _ids(batch, "a", self.length.a), _ids(batch, "b", self.length.b)
+        a_last, b_last = _cuts(batch, "a_cuts", n_a), _cuts(batch, "b_cuts", n_b)
+        a_at, b_at = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        parts = np.empty(len(a) + len(b), dtype=object)
+        # A token of A stands behind all B tokens of the groups before its own, one of B behind the A tokens of its own group too.
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        parts[np.arange(len(a)) + np.concatenate([[0], b_at])[a_group]] = self.a[a + a_last * len(self.length.a)]
+        parts[np.arange(len(b)) + a_at[b_group]] = self.b[b + b_last * len(self.length.b)]
+        edges, pieces = np.concatenate([[0], np.cumsum(n_a + n_b)]), parts.tolist()
+        shas = [
+            hashlib.sha256("".join(pieces[start:end])[:-1].encode()).hexdigest() if end > start else ""
+            for start, end in zip(edges[:-1].tolist(), edges[1:].tolist())]
+        return n_a, n_b, _sums(a_last, np.repeat(np.arange(len(n_a)), n_a), len(n_a)), shas
 
 
 def alignment(docs: DataFrame, a_path: str, a_ranks: str | None, b_path: str, frequent: int = FREQUENT) -> DataFrame:
     """The scores of every document's alignment, links counted over all rows; ``align`` says what odd rows give."""
-    aligned = materialize(align(docs, a_path, a_ranks, b_path), "aligned")
-    counts = materialize(link_counts(aligned, a_path, a_ranks, b_path), "counts")
-    return scored(aligned, counts, a_path, a_ranks, b_path, frequent)
+    path, spark = fresh_path(docs.sparkSession, "aligned"), docs.sparkSession
+    align(docs, a_path, a_ranks, b_path).write.option("compression", "zstd").parquet(path)
+    aligned, length = spark.read.schema(ALIGNED).parquet(path), Lengths(tokens(a_path, a_ranks, b_path))
+    counts = materialize(link_counts(aligned, length), "counts")
+    return scored(aligned, counts, length, frequent)

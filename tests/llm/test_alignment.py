@@ -84,10 +84,13 @@ def test_both_libraries_agree_on_settled_characters():
 
 
 def test_groups_come_from_the_cuts(spark, frame):
-    row = alignment.align(frame([(1, "unbelievable  tokens 中文")], DOCS), *PATHS).first()
-    both = alignment.tokens(*PATHS)
-    a, b = both.a_length[row.a].cumsum(), both.b_length[row.b].cumsum()
-    assert a[np.array(row.a_ends) - 1].tolist() == b[np.array(row.b_ends) - 1].tolist() == sorted(set(a.tolist()) & set(b.tolist()))
+    docs = [(1, "unbelievable  tokens 中文"), (2, ""), (3, "a")]
+    got = {r.doc_id: r.groups for r in alignment.groups(alignment.align(frame(docs, DOCS), *PATHS), *PATHS).collect()}
+    for (doc, _), (a, b, ends_a, ends_b) in zip(docs, sides(t for _, t in docs)):
+        assert [i for g in got[doc] for i in g.a] == a and [i for g in got[doc] for i in g.b] == b
+        assert len(got[doc]) == len(set(ends_a) & set(ends_b))
+        both = alignment.tokens(*PATHS)
+        assert all(both.join(g.a, both.a_bytes) == both.join(g.b, both.b_bytes) for g in got[doc])
 
 
 @pytest.mark.parametrize("seed", range(5))
