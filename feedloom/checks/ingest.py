@@ -14,7 +14,7 @@ from feedloom.operators import items, joins, prompts, sections
 from feedloom.params import PLACEHOLDER_FEED
 from feedloom.plans import digest as digest_plan
 from feedloom.operators.selection import top_news_guides
-from feedloom.sources import context, digests, feeds, history, replies, snapshots
+from feedloom.sources import context, digests, feeds, history, records, replies, snapshots
 from feedloom.storage import fresh_path
 
 RFC822 = "EEE, dd MMM yyyy HH:mm:ss"
@@ -60,6 +60,14 @@ def feed_scan(spark, d):
     return feeds.feed_scan(rss_bodies(spark, d))
 
 
+@register("feed_records", with_views("v_items", query=FEED_SQL))
+def feed_records(spark, d):
+    """The same feeds as landed files, each read entry by entry as a large file is."""
+    landing = fresh_path(spark, "landing")
+    feeds.write_bodies(rss_bodies(spark, d), landing)
+    return records.feed_items(spark, landing, large=0)
+
+
 @register("feed_select", with_views("v_feeds", "v_skip", query=f"""
 SELECT feed_url, feed_rank FROM (SELECT feed_url, feed_rank FROM v_feeds UNION ALL
   SELECT DISTINCT CASE WHEN page_id % 2 = 0 THEN concat('https://www.{PLACEHOLDER_FEED}', CAST(page_id AS VARCHAR)) ELSE url END, 99 FROM pages) f

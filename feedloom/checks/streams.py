@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from feedloom.checks import views
 from feedloom.checks.ingest import CUTOFF, FEED_SQL, UPSERT, rss_bodies
 from feedloom.checks.registry import ORACLES, register
-from feedloom.checks.rules import ITEM, ITEM_COLUMNS, RECENT
+from feedloom.checks.rules import ITEM, ITEM_COLUMNS, PARAMS, RECENT
 from feedloom.checks.views import NOW, with_views
+from feedloom.operators import selection
 from feedloom.schemas import ITEM as ITEM_SCHEMA
 from feedloom.sources.feeds import write_bodies
 from feedloom.sources.history import HistoryLog, HistoryStore
 from feedloom.storage import fresh_path
-from feedloom.streaming import feeds
+from feedloom.streaming import feeds, state
 
 
 def arriving_items(spark, d):
@@ -86,11 +89,59 @@ def history_log(spark, d):
     return log.read(NOW).groupBy("url").agg(F.max("ts").alias("ts"))
 
 
-@register("stream_history_ttl", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, ts FROM m WHERE ts >= {CUTOFF}"))
-def stream_history_ttl(spark, d):
+@register("stream_history_versions", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, ts FROM m WHERE ts >= {CUTOFF}"))
+def stream_history_versions(spark, d):
     store = HistoryStore(spark, fresh_path(spark, "history"))
     store.write(views.history(spark, d).groupBy("url").agg(F.max("ts").alias("ts")))
-    good = views.table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("entry_pos"))
-    used = arriving_items(spark, d).join(good, "entry_pos").select(F.col("link").alias("url"))
+    used = used_links(spark, d, arriving_items(spark, d)).select("url")
     feeds.run_available(used, fresh_path(spark, "stream-history"), feeds.stream_history(store, lambda batch: NOW))
     return store.read()
+
+
+def used_links(spark, d, items):
+    """url, ts: the links that this run's digest uses."""
+    good = views.table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("entry_pos"))
+    return items.join(good, "entry_pos").select(F.col("link").alias("url"), F.lit(NOW).alias("ts"))
+
+
+@register("stream_history_ttl", with_views("v_items", "v_history", query=UPSERT + f" SELECT url, ts FROM m WHERE ts >= {CUTOFF}"))
+def stream_history_ttl(spark, d):
+    """Two runs of one checkpoint, the earlier uses and this run's; what it remembers is read from its state."""
+    landing, base = fresh_path(spark, "used"), fresh_path(spark, "stream-history-state")
+    for used in (views.history(spark, d), used_links(spark, d, views.items(spark, d))):
+        used.write.mode("append").parquet(landing)
+        with state.state_store(spark):
+            feeds.run_available(state.stream_used(spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing), salts=1), base)
+    return state.used_links(spark, base).filter(F.col("ts") >= F.lit(NOW - dt.timedelta(days=7)))
+
+
+@register("stream_unused", ORACLES["history_antijoin"])
+def stream_unused(spark, d):
+    """Items against the uses of an earlier run of the same checkpoint: state in the place of a join with the history."""
+    landing, base = fresh_path(spark, "used"), fresh_path(spark, "stream-unused")
+    items = arriving_items(spark, d).withColumn("seen_at", F.lit(NOW))
+    used = spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing)
+    unused = state.stream_unused(items, used)
+    spark.createDataFrame([], "url STRING, ts TIMESTAMP").write.parquet(landing)
+    views.history(spark, d).write.mode("append").parquet(landing)
+    with state.state_store(spark):
+        rows = feeds.run_available(unused.select(*ITEM_COLUMNS), base)
+    return spark.read.schema(unused.select(*ITEM_COLUMNS).schema).parquet(rows)
+
+
+@register("stream_newest_per_feed", ORACLES["newest_per_feed"])
+def stream_newest_per_feed(spark, d):
+    """The items of a day dealt over five micro-batches; a last one of a later day closes it."""
+    landing, root, base = (fresh_path(spark, name) for name in ("arriving", "newest", "stream-newest"))
+    seen = views.items(spark, d).withColumn("seen_at", F.lit(NOW))
+    seen.limit(0).write.parquet(landing)
+    stream = spark.readStream.schema(seen.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    newest = state.stream_newest_per_feed(stream, views.limits(spark), PARAMS.default_limit)
+    write = state.newest_of_days(root, selection.largest_limit(views.limits(spark), PARAMS.default_limit))
+    later = seen.limit(1).withColumns({"seen_at": F.lit(NOW + dt.timedelta(days=3)), "source_feed": F.lit("later")})
+    for part in (seen.repartition(5), later):
+        part.write.mode("append").parquet(landing)
+        with state.state_store(spark, timers=True):
+            feeds.run_available(newest, base, write)
+    kept = spark.read.schema(f"{ITEM_SCHEMA}, seen_at TIMESTAMP, digest_day DATE, rank INT, batch_id BIGINT").parquet(root)
+    return kept.select(*ITEM_COLUMNS, "rank")

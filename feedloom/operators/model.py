@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import time
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from feedloom.functions import text
 from feedloom.functions.markup import tutorial_body
 from feedloom.operators import prompts
+from feedloom.operators.calls import Journal, ask_all, reachable
 from feedloom.operators.items import essential_keys, snippet_fallback
 from feedloom.operators.joins import context_cross
 from feedloom.sources.replies import model_json_scan
-from feedloom.storage import materialize
+from feedloom.storage import fresh_path, materialize
 
 # A model function maps a prompt to (reply, usage); usage is None or
 # (prompt tokens, candidates tokens, total tokens).
@@ -38,42 +39,44 @@ def model_call(
     retries: int = 3,
     delay: float = 5.0,
     concurrency: int = 3,
+    rate: float | None = None,
+    per_task: int = 64,
+    journal: str | None = None,
 ) -> DataFrame:
     """Ask the model every ``prompt``; returns the keys and the answer, written once.
 
+    Prompts are dealt over as many tasks as hold about ``per_task`` each, so tasks grow with the table and the cluster's cores
+    say how many run. Within a task ``concurrency`` calls run at a time, each with a client that ``factory`` builds, and
+    begin at most ``rate`` times a second. Answers stand in the order of the prompts.
+
     Exceptions and empty replies are tried again after ``delay * attempt``
     seconds; the last failure leaves a NULL reply and its reason. Tokens of all
-    attempts count. ``concurrency`` partitions call at the same time; ``factory``
-    builds the client once in each. The result is a written table, so a later
-    action never repeats a call.
+    attempts count. The result is a written table, so a later action never repeats a call. Every answer is also
+    put down in ``journal``, a folder that all executors reach (one of its own for each call of this
+    function unless given): a task that repeats a lost one, or a run that is started again with the same
+    folder, asks only what was not answered. Rows that agree in keys and prompt are one question there. Where tasks cannot write to the
+    shared folder by themselves, there is no journal and a lost task repeats its own calls, ``per_task`` at most.
     """
+    spark = asked.sparkSession
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.select(*keys).schema)
+    folder = journal or fresh_path(spark, f"journal-{task}")
+    if not reachable(folder):
+        if journal:
+            raise ValueError(f"tasks cannot write to {journal}")
+        folder = None
+    names = [part.split()[0] for part in _ANSWER.split(", ")]
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask = factory()
-
-        def one(prompt: str) -> tuple:
-            spent, error, began = [0, 0, 0], None, time.monotonic()
-            for attempt in range(1, retries + 1):
-                reply = None
-                try:
-                    reply, usage = ask(prompt)
-                    spent = [a + int(b or 0) for a, b in zip(spent, usage or (0, 0, 0))]
-                    error = None if reply else "empty reply"
-                except Exception as failure:
-                    error = f"{type(failure).__name__}: {failure}"
-                if error is None or attempt == retries:
-                    break
-                time.sleep(delay * attempt)
-            took = int((time.monotonic() - began) * 1000)
-            return (model, task, reply if error is None else None, attempt, error, took, *spent)
-
-        names = [part.split()[0] for part in _ANSWER.split(", ")]
+        book = Journal(folder) if folder else None
         for batch in batches:
-            answers = pd.DataFrame([one(p) for p in batch["prompt"]], columns=names, index=batch.index)
-            yield pd.concat([batch[keys], answers], axis=1)
-
-    spread = asked.select(*keys, "prompt").repartition(concurrency, *keys)
+            pairs = list(zip(batch["_asked"], batch["prompt"]))
+            answers = [(model, task, *a) for a in ask_all(pairs, factory, retries, delay, concurrency, rate, book)]
+            yield pd.concat([batch[keys], pd.DataFrame(answers, columns=names, index=batch.index)], axis=1)
+
+    identity = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(task).alias("task"), F.array(*[F.col(k).cast("string") for k in keys]).alias("keys"), "prompt"))
+    questions = materialize(asked.select(*keys, "prompt", identity.alias("_asked")), f"asked-{task}")
+    tasks = max(1, math.ceil(questions.count() / per_task))
+    spread = questions.repartition(tasks, "_asked")
     return materialize(spread.mapInPandas(answer, f"{schema}, {_ANSWER}"), f"model-{task}")
 
 

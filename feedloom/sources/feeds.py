@@ -56,12 +56,17 @@ def feed_scan(bodies: DataFrame) -> DataFrame:
 
 def feed_entries(bodies: DataFrame) -> DataFrame:
     # Parsed before they are exploded: a filter on a parsed column would parse again.
-    entries = F.transform(
-        chain(F.col("body"), _plain_sections, _unprefixed, _pieces), lambda piece: F.from_xml(F.regexp_replace(piece, _FOREIGN_REFERENCE, "&amp;"), _ENTRY)
-    )
-    parsed = bodies.select(
-        F.col("feed_url").alias("source_feed"), "feed_rank", F.posexplode(entries).alias("entry_pos", "e")
-    ).filter("e IS NOT NULL AND e._corrupt_record IS NULL")
+    entries = F.transform(chain(F.col("body"), _plain_sections, _unprefixed, _pieces), _parse)
+    return _fields(bodies.select(F.col("feed_url").alias("source_feed"), "feed_rank", F.posexplode(entries).alias("entry_pos", "e")))
+
+
+def _parse(piece: Column) -> Column:
+    return F.from_xml(F.regexp_replace(piece, _FOREIGN_REFERENCE, "&amp;"), _ENTRY)
+
+
+def _fields(entries: DataFrame) -> DataFrame:
+    """What ``item_normalize`` takes, from parsed entries; malformed ones are left out."""
+    parsed = entries.filter("e IS NOT NULL AND e._corrupt_record IS NULL")
     guid = strip(F.col("e.guid._VALUE"))
     permalink = F.when(F.coalesce(F.lower("e.guid._isPermaLink"), F.lit("true")) != "false", guid)
     return parsed.select(
