@@ -10,7 +10,8 @@ from feedloom.llm.common import match, whole
 # Fixed value: a page's tags; what stands between two of them is a line.
 TAG_OR_BREAK = r"<[^>]*>|\n"
 MAX_RATIO = 0.1
-MIN_PAGES = 10
+# The least that is a repetition; above it the ratio alone decides.
+MIN_PAGES = 2
 
 
 def host_of(url: Column) -> Column:
@@ -110,7 +111,7 @@ WITH lines_of AS (
 placed AS (SELECT page_id, host, unnest(ls) AS raw, generate_subscripts(ls, 1) AS pos FROM lines_of),
 counted AS (SELECT host, trim(raw, ' ') AS line, count(DISTINCT page_id) AS n FROM placed WHERE trim(raw, ' ') <> '' GROUP BY ALL),
 totals AS (SELECT host, count(*) AS pages FROM lines_of GROUP BY host),
-bad AS (SELECT host, line FROM counted JOIN totals USING (host) WHERE n >= 10 AND n / pages > 0.1)
+bad AS (SELECT host, line FROM counted JOIN totals USING (host) WHERE n >= 2 AND n / pages > 0.1)
 SELECT page_id, p.host, count(*) AS n_lines, count(bad.line) AS n_dropped,
   coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE bad.line IS NULL), '') AS kept_text
 FROM placed AS p LEFT JOIN bad ON bad.host = p.host AND bad.line = trim(raw, ' ') GROUP BY page_id, p.host

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,6 +37,14 @@ def split(text: str) -> list[str]:
     return _WORD.findall(text) if _ODD.search(text) else text.split()
 
 
+def _ends_in_letter(core: str) -> bool:
+    """Whether the word still ends in a letter once it is normalised: a lower-cased İ ends in a mark, which goes with the stop behind it.
+
+    Sure of Latin letters only; other words are encoded whole.
+    """
+    return core.isascii() or core[-1] <= "\u024f" and unicodedata.normalize("NFC", core.lower())[-1].isalpha()
+
+
 class Words:
     """Ids of words by one vocabulary; words that come again are remembered."""
 
@@ -49,11 +58,11 @@ class Words:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Runs of letters before full stops or commas are encoded apart, as the vocabulary's own split does."""
+        """Runs of letters before full stops or commas are encoded apart where the vocabulary's own split does the same."""
         parts = {}
         for word in words:
             core = word.rstrip(".,")
-            if len(core) < len(word) and core.isalpha():
+            if len(core) < len(word) and core.isalpha() and _ends_in_letter(core):
                 parts[word] = (core, word[len(core):])
         wanted = set(words).difference(parts).union(*parts.values()).difference(self.young)
         self._encode([w for w in wanted if not self._remembered(w)])

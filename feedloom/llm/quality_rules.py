@@ -14,7 +14,8 @@ from feedloom.storage import materialize
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SHARE = 0.05
-MIN_DOCUMENTS = 10
+# The least that is a repetition; above it the share alone decides.
+MIN_DOCUMENTS = 2
 MAX_REMOVED = 0.5
 SYMBOLS = "[#*$%&|<>]"
 
@@ -94,9 +95,9 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, max_share: float, min_documents: int) -> DataFrame:
-    """host, line_hash of lines in more than ``max_share`` of a host's documents and in more than ``min_documents``."""
+    """host, line_hash of lines in more than ``max_share`` of a host's documents and in ``min_documents`` at least."""
     seen = lines.select("host", "line_hash", "text_hash").distinct().groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("_n"))
-    joined = seen.filter(F.col("_n") > min_documents).join(hosts, "host")
+    joined = seen.filter(F.col("_n") >= min_documents).join(hosts, "host")
     return joined.filter(F.col("_n") > max_share * F.col("host_documents")).select("host", "line_hash")
 
 
@@ -144,7 +145,7 @@ def quality_rules(
     """One row per document: its counts, ``base_failed`` and ``kept``.
 
     A line (case and spacing ignored) is frequent when it stands in more than
-    ``max_share`` of its host's documents and in more than ``min_documents``;
+    ``max_share`` of its host's documents and in ``min_documents`` at least;
     exact copies are one document there, so copies do not condemn each other.
     A document is rejected by the base rules, or when frequent lines hold more
     than ``max_removed`` of the words on its distinct lines.
@@ -199,7 +200,7 @@ raw AS (SELECT doc_id, host, text, line FROM (SELECT doc_id, host, text, unnest(
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw GROUP BY doc_id),
 lines AS (SELECT DISTINCT doc_id, host, text, lower(trim(regexp_replace(line, '[ \t-\r]+', ' ', 'g'))) AS line FROM raw),
 hosts AS (SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host),
-frequent AS (SELECT l.host, l.line FROM (SELECT host, line, count(DISTINCT text) AS c FROM lines GROUP BY host, line) AS l JOIN hosts USING (host) WHERE c > 10 AND c > 0.05 * n),
+frequent AS (SELECT l.host, l.line FROM (SELECT host, line, count(DISTINCT text) AS c FROM lines GROUP BY host, line) AS l JOIN hosts USING (host) WHERE c >= 2 AND c > 0.05 * n),
 shares AS (
   SELECT doc_id, sum(len(string_split(line, ' '))) AS all_words, sum(CASE WHEN f.line IS NULL THEN 0 ELSE len(string_split(l.line, ' ')) END) AS removed
   FROM lines AS l LEFT JOIN frequent AS f USING (host, line) GROUP BY doc_id),
