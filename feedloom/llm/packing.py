@@ -23,7 +23,7 @@ LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 8
 # Words whose ids a worker remembers at least, and at most twice as many.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 # Words encoded in one call.
 CALL = 500
 
