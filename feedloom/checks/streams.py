@@ -117,13 +117,11 @@ def stream_history_ttl(spark, d):
 
 @register("stream_unused", ORACLES["history_antijoin"])
 def stream_unused(spark, d):
-    """Items against the uses of an earlier run of the same checkpoint: state in the place of a join with the history."""
+    """Items against the uses that a stream brings in: state by link in the place of a join with the history."""
     landing, base = fresh_path(spark, "used"), fresh_path(spark, "stream-unused")
     items = arriving_items(spark, d).withColumn("seen_at", F.lit(NOW))
-    used = spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing)
-    unused = state.stream_unused(items, used)
-    spark.createDataFrame([], "url STRING, ts TIMESTAMP").write.parquet(landing)
-    views.history(spark, d).write.mode("append").parquet(landing)
+    views.history(spark, d).write.parquet(landing)
+    unused = state.stream_unused(items, spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing))
     with state.state_store(spark):
         rows = feeds.run_available(unused.select(*ITEM_COLUMNS), base)
     return spark.read.schema(unused.select(*ITEM_COLUMNS).schema).parquet(rows)
