@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from feedloom.checks import views
 from feedloom.checks.registry import register
 from feedloom.checks.views import NOW, PARAMS, literal, with_views
-from feedloom.operators import counts, dedup, items, joins, selection
+from feedloom.operators import counts, dedup, items, joins, keywords, selection
 from feedloom.operators.items import NO_MOVE
 from feedloom.operators.scoring import keyword_score
 from feedloom.plans import prefilter as plan
@@ -47,6 +49,20 @@ def prefilter(spark, d):
     return kept.select("entry_pos", "source_feed", "link", "title", "published", "id", "rank")
 
 
+@register("prefilter_counts", with_views(*CHAIN_VIEWS, query=CHAIN + f""",
+ c AS (SELECT count(*) AS fetched, count(*) FILTER (WHERE {RECENT}) AS recent, count(*) FILTER (WHERE {RECENT} AND {WANTED}) AS wanted FROM v_items),
+ u AS (SELECT count(*) AS unused FROM f), l AS (SELECT count(*) AS limited FROM k),
+ g AS (SELECT k.*, {FIRST_BY_ID} AS dn FROM k), q AS (SELECT count(*) AS uniq FROM g WHERE dn = 1)
+SELECT fetched, recent, wanted, unused, limited, uniq AS "unique", fetched - recent AS skipped_recent, recent - wanted AS skipped_wanted,
+  wanted - unused AS skipped_unused, unused - limited AS skipped_limited, limited - uniq AS skipped_unique FROM c, u, l, q"""))
+def prefilter_counts(spark, d):
+    """What the run's own action counts on its way; the candidates are written, nothing is read twice."""
+    candidates, counts = plan.counted_prefilter(*_chain(spark, d))
+    candidates.write.format("noop").mode("overwrite").save()
+    totals = counts.totals()
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{name} BIGINT" for name in totals))
+
+
 # Filters
 
 @register("recent_items", with_views("v_items", query=f"SELECT {ITEM} FROM v_items WHERE {RECENT}"))
@@ -59,6 +75,27 @@ def keyword_any(spark, d):
     return items.keyword_any(views.items(spark, d), PARAMS.keywords).select(*ITEM_COLUMNS)
 
 
+#: Keywords of the large list.
+MANY = 10_000
+MANY_SQL = f"""SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents)
+ WHERE length(w) >= 4 ORDER BY md5(w) LIMIT {MANY}"""
+
+
+@register("keyword_any_many", with_views("v_items", query=f"""
+, words AS MATERIALIZED ({MANY_SQL}),
+ hits AS (SELECT i.entry_pos, count(*) AS n_found, md5(string_agg(word, ',' ORDER BY word)) AS found_md5
+  FROM v_items i JOIN words ON coalesce(contains(lower(title), word), false) OR coalesce(contains(lower(summary), word), false) GROUP BY i.entry_pos)
+SELECT {ITEM}, n_found, found_md5 FROM v_items JOIN hits USING (entry_pos)"""))
+def keyword_any_many(spark, d):
+    """Ten thousand words of the documents, chosen by hash, as keywords; which of them each item holds."""
+    words = views.table(spark, d, "documents").select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("w")).filter("length(w) >= 4")
+    listed = [row["w"] for row in words.distinct().orderBy(F.md5("w")).limit(MANY).collect()]
+    found = keywords.keywords_found(keywords.keyword_any_of(views.items(spark, d), sorted(listed)), sorted(listed))
+    names = F.from_json(F.lit(json.dumps(sorted(listed))), "array<string>")
+    held = F.transform("found", lambda n: F.get(names, n))
+    return found.select(*ITEM_COLUMNS, F.size("found").cast("bigint").alias("n_found"), F.md5(F.array_join(held, ",")).alias("found_md5"))
+
+
 @register("content_split", with_views("v_scored", query="""
 SELECT pos, run_date, url, CASE WHEN content_type = 'Tutorial/Guide' THEN 'guide' ELSE 'news' END AS kind FROM v_scored"""), day="run_date")
 def content_split(spark, d):
@@ -96,6 +133,11 @@ def history_antijoin(spark, d):
     return joins.history_antijoin(views.items(spark, d), views.history(spark, d), NOW).select(*ITEM_COLUMNS)
 
 
+@register("history_antijoin_pruned", with_views("v_items", "v_history", query=f"SELECT {ITEM} FROM v_items i WHERE {UNUSED}"))
+def history_antijoin_pruned(spark, d):
+    return joins.history_antijoin_pruned(views.items(spark, d), views.history(spark, d), NOW).select(*ITEM_COLUMNS)
+
+
 @register("limit_lookup", with_views("v_items", "v_limits", query=f"""
 SELECT i.entry_pos, i.source_feed, CAST({LIMIT} AS INT) AS feed_limit FROM v_items i LEFT JOIN v_limits l ON l.feed_url = i.source_feed"""))
 def limit_lookup(spark, d):

@@ -38,6 +38,38 @@ def history_antijoin(items: DataFrame, history: DataFrame, now: dt.datetime, day
     return keyed.join(used, "_join_key", "left_anti").drop("_join_key")
 
 
+# A bitmap of Spark's holds so many bits in so many bytes.
+_BITS, _BYTES = 32768, 4096
+
+
+def history_antijoin_pruned(
+    items: DataFrame, history: DataFrame, now: dt.datetime, days: int = 7, bits: int = 16, max_bitmaps: int = 8192,
+) -> DataFrame:
+    """``history_antijoin`` for a history past the broadcast threshold: only items whose link may have been used are shuffled.
+
+    The window's urls set one bit each in bitmaps, ``bits`` for every url, that go to all tasks: ``max_bitmaps`` of 4 kB at most, 32 MB.
+    An item whose bit is not set was surely not used and passes where it is read; the others, the used ones and about one in
+    ``bits`` of the rest, are joined. A history too large for that many bits lets more items through to the join, never less.
+    """
+    recent = history.filter((F.col("ts") >= F.lit(utc(now) - dt.timedelta(days=days))) & F.col("url").isNotNull())
+    count = recent.count()
+    bitmaps = min(max_bitmaps, 1 << max(0, (count * bits // _BITS - 1).bit_length()))
+    # Bucket numbers of Spark's bitmaps begin with 1.
+    spread = lambda url: F.pmod(F.xxhash64(url), F.lit(bitmaps * _BITS)) + 1
+    made = recent.select(spread(F.col("url")).alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap"))
+    linked = F.col("link").isNotNull() & (F.col("link") != NO_LINK)
+    placed = items.withColumn("_place", F.when(linked, spread(F.col("link"))))
+    # As many rows as ``bitmaps`` says, whatever the history holds.
+    seen = placed.join(F.broadcast(made), F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))) != 0, F.lit(False))
+    flagged = seen.withColumn("_maybe", maybe)
+    possible = flagged.filter("_maybe").select(*items.columns)
+    return flagged.filter("NOT _maybe").select(*items.columns).unionByName(history_antijoin(possible, history, now, days))
+
+
 def link_key(link: Column, spread: Column) -> Column:
     missing = link.isNull() | (link == NO_LINK)
     return F.when(missing, F.concat(F.lit("\x00"), spread.cast("string"))).otherwise(link)
