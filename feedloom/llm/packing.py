@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from feedloom.storage import materialize
 LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 8
-# Words whose ids a worker remembers at least, and at most twice as many.
-REMEMBERED = 600_000
+# Words whose ids a worker remembers at most; beyond it those met first are forgotten and encoded anew when they come again.
+REMEMBERED = 800_000
 # Words encoded in one call.
 CALL = 500
 
@@ -54,8 +55,7 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Runs of letters before full stops or commas are encoded apart where the vocabulary's own split does the same."""
@@ -64,16 +64,9 @@ class Words:
             core = word.rstrip(".,")
             if len(core) < len(word) and core.isalpha() and _ends_in_letter(core):
                 parts[word] = (core, word[len(core):])
-        wanted = set(words).difference(parts).union(*parts.values()).difference(self.young)
-        self._encode([w for w in wanted if not self._remembered(w)])
+        self._encode(list(set(words).difference(parts).union(*parts.values()).difference(self.known)))
         for word, (core, tail) in parts.items():
-            self.young[word] = self.young[core] + self.young[tail]
-
-    def _remembered(self, word: str) -> bool:
-        known = self.old.get(word)
-        if known is not None:
-            self.young[word] = known
-        return known is not None
+            self.known[word] = self.known[core] + self.known[tail]
 
     def _encode(self, words: list[str]) -> None:
         letters = [w for w in words if w.isalpha()]
@@ -94,17 +87,16 @@ class Words:
     def _keep(self, words: list[str], ids: np.ndarray, edges: list[int]) -> None:
         data = ids.tobytes()
         for word, start, end in zip(words, edges, edges[1:]):
-            self.young[word] = data[4 * start:4 * end]
+            self.known[word] = data[4 * start:4 * end]
 
     def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text, with the end id."""
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
+        if len(self.known) > REMEMBERED:
+            self.known = dict(islice(self.known.items(), len(self.known) - REMEMBERED // 2, None))
         texts_words = [split(text) for text in texts]
-        words = set().union(*texts_words).difference(self.young)
-        self._learn([w for w in words if not self._remembered(w)])
+        self._learn(list(set().union(*texts_words).difference(self.known)))
         end = np.array([end_id], dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.young.__getitem__, found)) + end, dtype="<u4") for found in texts_words]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, found)) + end, dtype="<u4") for found in texts_words]
 
 
 @lru_cache(maxsize=2)
@@ -118,13 +110,14 @@ def projection() -> np.ndarray:
     return np.where(cells & np.uint64(1), 1.0, -1.0).reshape(BUCKETS, DIMENSIONS)
 
 
-def hashed_vector(ids: np.ndarray) -> np.ndarray:
-    """Signed counts of the ids in buckets by a hash, of length one."""
-    h = mix(ids.astype(np.uint64))
+def hashed_vectors(texts: list[np.ndarray]) -> np.ndarray:
+    """Signed counts of each text's ids in buckets by a hash, of length one; no text is empty."""
+    h = mix(np.concatenate(texts).astype(np.uint64))
     sign = np.where(h & np.uint64(1 << 40), 1.0, -1.0)
-    counts = np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), weights=sign, minlength=BUCKETS)
-    norm = np.linalg.norm(counts)
-    return counts / norm if norm else counts
+    of = np.repeat(np.arange(len(texts)), [len(ids) for ids in texts])
+    counts = np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64) + of * BUCKETS, weights=sign, minlength=BUCKETS * len(texts)).reshape(len(texts), BUCKETS)
+    norm = np.linalg.norm(counts, axis=1, keepdims=True)
+    return counts / np.where(norm > 0, norm, 1)
 
 
 def grid(vectors: np.ndarray) -> np.ndarray:
@@ -162,7 +155,7 @@ def placed(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         words = vocabulary(path)
         for batch in slices(tables):
             ids = words.ids(batch.column("text").to_pylist(), end_id)
-            curve = hilbert_key(grid(np.stack([hashed_vector(x) for x in ids])))
+            curve = hilbert_key(grid(hashed_vectors(ids)))
             data = pa.array([x.tobytes() for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(curve), data], ["doc_id", "curve", "ids"])
 
