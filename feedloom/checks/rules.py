@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.checks import views
 from feedloom.checks.registry import register
 from feedloom.checks.views import NOW, PARAMS, literal, with_views
-from feedloom.operators import counts, dedup, items, joins, keywords, selection
+from feedloom.operators import counts, dedup, items, joins, keywords, rejoin, selection
 from feedloom.operators.items import NO_MOVE
 from feedloom.operators.scoring import keyword_score
 from feedloom.plans import prefilter as plan
@@ -138,6 +138,18 @@ def history_antijoin_pruned(spark, d):
     return joins.history_antijoin_pruned(views.items(spark, d), views.history(spark, d), NOW).select(*ITEM_COLUMNS)
 
 
+#: What a model may make of an address: nothing, another case of the host, a slash, a parameter, a wrong letter.
+ECHO = """CASE entry_pos // 2 % 5 WHEN 0 THEN link WHEN 1 THEN replace(link, 'items.example', 'Items.EXAMPLE') WHEN 2 THEN concat(link, '/')
+  WHEN 3 THEN concat(link, '?utm_source=feed&utm_medium=rss') ELSE replace(link, 'items', 'itens') END"""
+
+
+@register("result_rejoin_altered", with_views("v_items", query=f"SELECT DISTINCT {ECHO} AS url, link FROM v_items WHERE link IS NOT NULL"))
+def result_rejoin_altered(spark, d):
+    found = views.items(spark, d)
+    echoed = found.filter("link IS NOT NULL").select(F.expr(ECHO.replace("//", "DIV")).alias("url"))
+    return rejoin.url_mapping(echoed, found)
+
+
 @register("limit_lookup", with_views("v_items", "v_limits", query=f"""
 SELECT i.entry_pos, i.source_feed, CAST({LIMIT} AS INT) AS feed_limit FROM v_items i LEFT JOIN v_limits l ON l.feed_url = i.source_feed"""))
 def limit_lookup(spark, d):

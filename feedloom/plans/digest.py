@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import subject_line
 from feedloom.operators.items import essential_keys, snippet_fallback
+from feedloom.operators.rejoin import url_rejoin
 from feedloom.operators.model import ModelFactory, enrich, generate_tutorial, score_and_tag, usage_rows
 from feedloom.operators.sections import digest_collect, digest_document, digest_rows, with_tutorials
 from feedloom.operators.selection import top_news_guides
@@ -57,14 +58,15 @@ def resend(archive: DataFrame, now: dt.datetime, title: str) -> DataFrame:
 def daily_run(
     items: DataFrame, limits: DataFrame, skip: DataFrame, context: DataFrame, history: HistoryStore | HistoryLog, params: RunParams,
     factory: ModelFactory, models: dict[str, str], reader: str, topics: Sequence[str], profile: str, archive: str,
-    **call: object,
+    rejected: Callable[[DataFrame], None] | None = None, **call: object,
 ) -> DataFrame:
     """One run of one profile; returns its usage rows.
 
     ``models`` names the model per task: filter, summary, analysis, tutorial.
     The digest is written first and the history committed last, so a run that
-    fails on the way uses up no item. A filter step without one readable reply
-    ends the run.
+    fails on the way uses up no item. Replies of the filter step that cannot be read are handed to ``rejected``
+    and the run goes on with the others; without one readable reply it ends. Addresses that the model altered are put back to
+    those of the candidates.
     """
     spark = items.sparkSession
     run = ["profile", "run_date"]
@@ -72,9 +74,13 @@ def daily_run(
     scored, answers = score_and_tag(
         candidates, factory, models["filter"], reader, ["feed_rank", "source_feed"], "rank", **call
     )
-    scored = materialize(scored, "scored")
-    if not model_json_rejects(answers, ["feed_rank", "source_feed", "batch_no"]).isEmpty():
-        raise RuntimeError("a reply of the filter step could not be read")
+    scored = materialize(url_rejoin(materialize(scored, "scored"), candidates), "rejoined")
+    rejects = model_json_rejects(answers, ["feed_rank", "source_feed", "batch_no"])
+    if not rejects.isEmpty():
+        if rejects.count() == answers.count():
+            raise RuntimeError("no reply of the filter step could be read")
+        if rejected is not None:
+            rejected(rejects)
     # Replies of several batches are put in feed order before they are ranked.
     place = F.struct("feed_rank", "source_feed", "batch_no", "pos")
     ranked = scored.select(

@@ -137,3 +137,41 @@ def test_daily_runs(spark, frame, tmp_path, kind):
         seen += [r.url for r in store.read(params.now).filter(F.col("ts") == F.lit(params.now)).collect()]
     assert len(seen) == len(set(seen)) == 21
     assert settings_frame(spark, "a STRING", [{"a": "x"}]).count() == 1
+
+
+def careless_model():
+    """Alters every address of the filter step, and answers nonsense for one feed."""
+    import re
+
+    ask = reader_model()
+
+    def careless(prompt):
+        reply, usage = ask(prompt)
+        if "Source Feed: feed1" in prompt:
+            return "sorry, no list today", usage
+        if "Source Feed:" in prompt:
+            reply = re.sub(r'"https://i/(\d+)"', r'"HTTPS://I/\1/?utm_source=x"', reply)
+        return reply, usage
+
+    return careless
+
+
+def test_daily_run_with_altered_addresses_and_a_bad_reply(spark, frame, tmp_path):
+    items = frame(
+        [(f"AI news {n}", f"https://i/{n}", NOW, "text", f"feed{n % 3}", f"id{n}", n % 3, n) for n in range(12)],
+        "title STRING, link STRING, published TIMESTAMP, summary STRING, source_feed STRING, id STRING, feed_rank INT, entry_pos BIGINT")
+    store, rejects = HistoryStore(spark, str(tmp_path / "history")), []
+    params = RunParams(now=NOW, max_hours=None, keywords=("ai",), num_news=8, num_guides=2)
+    arguments = (items, params.limits_frame(spark), params.skip_frame(spark), frame([("X",)], "context STRING"), store, params)
+    models = {"filter": "s", "summary": "s", "analysis": "l", "tutorial": "l"}
+    daily_run(*arguments, careless_model, models, "an engineer", ["graphs"], "me", str(tmp_path / "archive"),
+              rejected=lambda df: rejects.extend(df.collect()), delay=0.0)
+    assert [r.source_feed for r in rejects] == ["feed1"]
+    used = {r.url for r in store.read().collect()}
+    assert used == {f"https://i/{n}" for n in range(12) if n % 3 != 1}
+
+    def silent():
+        return lambda prompt: ("nothing", None)
+
+    with pytest.raises(RuntimeError, match="no reply"):
+        daily_run(*arguments, silent, models, "an engineer", ["graphs"], "you", str(tmp_path / "archive"), delay=0.0)
