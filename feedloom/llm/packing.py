@@ -24,7 +24,7 @@ LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 8
 # Words whose ids a worker remembers at most; beyond it those met first are forgotten and encoded anew when they come again.
-REMEMBERED = 800_000
+REMEMBERED = 350_000
 # Words encoded in one call.
 CALL = 500
 
