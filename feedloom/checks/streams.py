@@ -19,6 +19,10 @@ from feedloom.storage import fresh_path
 from feedloom.streaming import feeds, state
 
 
+#: Parts of the state of these small streams.
+PARTS = 4
+
+
 def arriving_items(spark, d):
     return views.items_of(views.arriving(spark, d, "documents"), views.table(spark, d, "events"))
 
@@ -110,7 +114,7 @@ def stream_history_ttl(spark, d):
     landing, base = fresh_path(spark, "used"), fresh_path(spark, "stream-history-state")
     for used in (views.history(spark, d), used_links(spark, d, views.items(spark, d))):
         used.write.mode("append").parquet(landing)
-        with state.state_store(spark):
+        with state.state_store(spark, partitions=PARTS):
             feeds.run_available(state.stream_used(spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing), salts=1), base)
     return state.used_links(spark, base).filter(F.col("ts") >= F.lit(NOW - dt.timedelta(days=7)))
 
@@ -122,7 +126,7 @@ def stream_unused(spark, d):
     items = arriving_items(spark, d).withColumn("seen_at", F.lit(NOW))
     views.history(spark, d).write.parquet(landing)
     unused = state.stream_unused(items, spark.readStream.schema("url STRING, ts TIMESTAMP").parquet(landing))
-    with state.state_store(spark):
+    with state.state_store(spark, partitions=PARTS):
         rows = feeds.run_available(unused.select(*ITEM_COLUMNS), base)
     return spark.read.schema(unused.select(*ITEM_COLUMNS).schema).parquet(rows)
 
@@ -139,7 +143,7 @@ def stream_newest_per_feed(spark, d):
     later = seen.limit(1).withColumns({"seen_at": F.lit(NOW + dt.timedelta(days=3)), "source_feed": F.lit("later")})
     for part in (seen.repartition(5), later):
         part.write.mode("append").parquet(landing)
-        with state.state_store(spark, timers=True):
+        with state.state_store(spark, timers=True, partitions=PARTS):
             feeds.run_available(newest, base, write)
     kept = spark.read.schema(f"{ITEM_SCHEMA}, seen_at TIMESTAMP, digest_day DATE, rank INT, batch_id BIGINT").parquet(root)
     return kept.select(*ITEM_COLUMNS, "rank")

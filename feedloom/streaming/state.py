@@ -33,7 +33,7 @@ SALTS = 8
 
 
 @contextmanager
-def state_store(spark: SparkSession, timers: bool = False) -> Iterator[None]:
+def state_store(spark: SparkSession, timers: bool = False, partitions: int | None = None) -> Iterator[None]:
     """Queries started inside keep their state in RocksDB; the session's own settings come back afterwards.
 
     ``timers`` lets micro-batches run without new rows, which closes days; state that expires by the wall clock needs none,
