@@ -293,6 +293,23 @@ def prompt_items(spark, d):
     return prompts.prompt_items(views.items(spark, d), ["source_feed"], "entry_pos", SPAN)
 
 
+PROMPT_BUDGET = 900
+
+
+@register("prompt_items_budget", with_views("v_items", query=f"""
+WITH b AS (SELECT source_feed, CAST(floor(entry_pos / {SPAN}.0) AS BIGINT) AS span, entry_pos, substring({BLOCK}, 1, {PROMPT_BUDGET * 3 - 1}) AS block FROM v_items),
+ s AS (SELECT *, CAST(ceil((length(block) + 1) / 3.0) AS BIGINT) AS size, row_number() OVER (PARTITION BY source_feed, span ORDER BY entry_pos) AS rn FROM b),
+ g AS (SELECT source_feed, span, rn, 0 AS no, size AS used FROM s WHERE rn = 1 UNION ALL
+  SELECT s.source_feed, s.span, s.rn, CASE WHEN g.used + s.size <= {PROMPT_BUDGET} THEN g.no ELSE g.no + 1 END,
+   CASE WHEN g.used + s.size <= {PROMPT_BUDGET} THEN g.used + s.size ELSE s.size END
+  FROM g JOIN s ON s.source_feed = g.source_feed AND s.span = g.span AND s.rn = g.rn + 1)
+SELECT s.source_feed, s.span * {SPAN} + g.no AS batch_no, string_agg(s.block, chr(10) ORDER BY s.rn) AS items_text, count(*) AS n_items,
+  CAST(sum(s.size) AS BIGINT) AS n_tokens FROM s JOIN g ON g.source_feed = s.source_feed AND g.span = s.span AND g.rn = s.rn GROUP BY 1, 2"""
+).replace("WITH ", "WITH RECURSIVE ", 1))
+def prompt_items_budget(spark, d):
+    return prompts.budgeted_prompt_items(views.items(spark, d), ["source_feed"], "entry_pos", PROMPT_BUDGET, SPAN)
+
+
 def _filled(template: str, **values: str) -> str:
     sql = literal(template)
     for name, expression in values.items():

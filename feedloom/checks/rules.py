@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from feedloom.checks import views
 from feedloom.checks.registry import register
 from feedloom.checks.views import NOW, PARAMS, literal, with_views
-from feedloom.operators import counts, dedup, items, joins, keywords, rejoin, selection
+from feedloom.operators import counts, dedup, items, joins, keywords, near, rejoin, selection
 from feedloom.operators.items import NO_MOVE
 from feedloom.operators.scoring import keyword_score
 from feedloom.plans import prefilter as plan
@@ -342,6 +342,19 @@ def near_dup(spark, d):
     return dedup.near_dup(views.items(spark, d)).select(*ITEM_COLUMNS)
 
 
+@register("near_dup_shingles", with_views("v_items", query=f"""
+WITH w AS (SELECT *, list_filter(string_split_regex(lower(concat_ws(' ', title, summary)), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words,
+   row_number() OVER (ORDER BY feed_rank, published DESC NULLS LAST, entry_pos) AS place FROM v_items),
+ k AS (SELECT place, unnest(list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+   lambda i: array_to_string(list_slice(words, i, i + 4), ' ')))) AS s FROM w WHERE len(words) > 0),
+ n AS (SELECT place, count(*) AS n FROM k GROUP BY 1),
+ p AS (SELECT a.place AS a, b.place AS b, count(*) AS c FROM k a JOIN k b ON a.s = b.s AND a.place < b.place GROUP BY 1, 2)
+SELECT {ITEM} FROM w WHERE place NOT IN (
+  SELECT b FROM p JOIN n x ON x.place = a JOIN n y ON y.place = b WHERE c >= 0.8 * (x.n + y.n - c))"""))
+def near_dup_shingles(spark, d):
+    return near.near_dup_shingles(views.items(spark, d)).select(*ITEM_COLUMNS)
+
+
 TOPICS = {"north": (3, ("tion", "ment")), "south": (2, ("ungheit",)), "west": (4, ("eaueau", "thsh", "ering")), "east": (2, ("el la",))}
 RULES = (("Tutorial/Guide", ("ere de", "the and")), ("Opinion", ("ing",)), ("Other", ()))
 

@@ -88,10 +88,16 @@ def usage_rows(answers: DataFrame, run_id: str) -> DataFrame:
 
 def score_and_tag(
     items: DataFrame, factory: ModelFactory, model: str, reader: str, batch: list[str], position: str,
-    size: int = 100, **call: object,
+    size: int = 100, budget: int | None = None, **call: object,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score items in batches; returns the scored rows and the answers (for usage and rejects)."""
-    listed = prompts.prompt_items(items, batch, position, size)
+    """Score items in batches of ``size``, or of as many as fit into ``budget`` tokens; returns the scored rows and the
+    answers (for usage and rejects)."""
+    if budget is None:
+        listed = prompts.prompt_items(items, batch, position, size)
+    else:
+        # What the wording around the items takes is left free.
+        wording = -(-len(prompts.SCORE_TEMPLATE + reader) // 3)
+        listed = prompts.budgeted_prompt_items(items, batch, position, budget - wording)
     asked = listed.withColumn("prompt", prompts.score_prompt(F.col("items_text"), reader))
     answers = model_call(asked, factory, model, "filter", [*batch, "batch_no"], **call)
     return model_json_scan(answers, [*batch, "batch_no"]), answers

@@ -94,6 +94,46 @@ def prompt_items(items: DataFrame, batch: list[str], position: str, size: int) -
     )
 
 
+def budgeted_prompt_items(
+    items: DataFrame, batch: list[str], position: str, budget: int, span: int = 1000, chars_per_token: int = 3
+) -> DataFrame:
+    """Item blocks joined in order, as many per text as ``budget`` tokens hold.
+
+    A block counts one token for each ``chars_per_token`` characters, its line
+    break included, rounded up; a block beyond the budget is cut to it. Within ``span`` consecutive
+    positions each text takes items until the next one does not fit, so it loses
+    less than that item's size; a span begins a new text, which bounds every group.
+    ``batch_no`` ascends with the positions.
+    """
+    if budget < 1 or span < 1 or chars_per_token < 1:
+        raise ValueError("budget, span and chars_per_token must be positive")
+    block = F.substring(item_block(), 1, budget * chars_per_token - 1)
+    sized = items.select(*batch, F.floor(F.col(position) / span).alias("_span"), F.col(position).alias("_pos"), block.alias("_block"))
+    rows = sized.withColumn("_size", F.ceil((F.length("_block") + 1) / chars_per_token)).groupBy(*batch, "_span").agg(
+        F.sort_array(F.collect_list(F.struct("_pos", "_size", "_block"))).alias("_rows"))
+    none = F.array().cast("array<bigint>")
+    start = F.struct(none.alias("cuts"), F.lit(0).cast("bigint").alias("used"), F.lit(0).cast("bigint").alias("n"))
+
+    def take(state: Column, row: Column) -> Column:
+        fits = (state["n"] > 0) & (state["used"] + row["_size"] <= budget)
+        return F.struct(
+            F.when(fits, state["cuts"]).otherwise(F.concat(state["cuts"], F.array(state["n"]))).alias("cuts"),
+            F.when(fits, state["used"] + row["_size"]).otherwise(row["_size"]).alias("used"),
+            (state["n"] + 1).alias("n"),
+        )
+
+    cut = rows.withColumn("_cuts", F.aggregate("_rows", start, take, lambda state: state["cuts"]))
+    texts = cut.select(*batch, "_span", "_rows", "_cuts", F.posexplode("_cuts").alias("_no", "_first"))
+    after = F.coalesce(F.get("_cuts", F.col("_no") + 1), F.size("_rows").cast("bigint"))
+    part = F.slice("_rows", (F.col("_first") + 1).cast("int"), (after - F.col("_first")).cast("int"))
+    return texts.withColumn("_part", part).select(
+        *batch, (F.col("_span") * span + F.col("_no")).alias("batch_no"),
+        F.array_join(F.transform("_part", lambda row: row["_block"]), "\n").alias("items_text"),
+        F.size("_part").cast("bigint").alias("n_items"),
+        F.aggregate("_part", F.lit(0).cast("bigint"), lambda total, row: total + row["_size"]).alias("n_tokens"),
+    )
+
+
 def score_prompt(items_text: Column, reader: str, template: str = SCORE_TEMPLATE) -> Column:
     return render(template, items=items_text, reader=F.lit(reader))
 

@@ -58,10 +58,12 @@ def resend(archive: DataFrame, now: dt.datetime, title: str) -> DataFrame:
 def daily_run(
     items: DataFrame, limits: DataFrame, skip: DataFrame, context: DataFrame, history: HistoryStore | HistoryLog, params: RunParams,
     factory: ModelFactory, models: dict[str, str], reader: str, topics: Sequence[str], profile: str, archive: str,
-    rejected: Callable[[DataFrame], None] | None = None, **call: object,
+    rejected: Callable[[DataFrame], None] | None = None, prompt_budget: int | None = None, **call: object,
 ) -> DataFrame:
     """One run of one profile; returns its usage rows.
 
+    ``prompt_budget`` cuts the prompts of the filter step by tokens instead of by a number of items.
+
     ``models`` names the model per task: filter, summary, analysis, tutorial.
     The digest is written first and the history committed last, so a run that
     fails on the way uses up no item. Replies of the filter step that cannot be read are handed to ``rejected``
@@ -72,7 +74,7 @@ def daily_run(
     run = ["profile", "run_date"]
     candidates = materialize(prefilter(items, history.read(params.now, params.history_days), limits, skip, params), "candidates")
     scored, answers = score_and_tag(
-        candidates, factory, models["filter"], reader, ["feed_rank", "source_feed"], "rank", **call
+        candidates, factory, models["filter"], reader, ["feed_rank", "source_feed"], "rank", budget=prompt_budget, **call
     )
     scored = materialize(url_rejoin(materialize(scored, "scored"), candidates), "rejoined")
     rejects = model_json_rejects(answers, ["feed_rank", "source_feed", "batch_no"])
