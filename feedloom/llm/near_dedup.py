@@ -209,6 +209,30 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return near.filter(common >= similarity * (F.size("_a") + F.size("_b") - common)).select("a", "b")
 
 
+# A bitmap of Spark's holds so many bits, in 4 kB.
+_BITS = 32768
+
+
+def possible(texts: DataFrame, wanted: DataFrame, bits: int = 16, max_bitmaps: int = 8192) -> DataFrame:
+    """The texts whose doc_id is wanted, and a few others; no text is shuffled.
+
+    Each wanted doc_id sets a bit in bitmaps that go to all tasks, ``bits`` for every doc_id and 32 MB at most. About one
+    in ``bits`` of the other texts stays, and more of them where the bound holds; a wanted one always does.
+    """
+    bitmaps = min(max_bitmaps, 1 << max(0, (wanted.count() * bits // _BITS - 1).bit_length()))
+    # Bucket numbers of Spark's bitmaps begin with 1.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bitmaps * _BITS)) + 1
+    made = wanted.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap"))
+    placed = texts.withColumn("_place", place)
+    # As many rows as ``bitmaps`` says, whatever is wanted.
+    met = placed.join(F.broadcast(made), F.bitmap_bucket_number("_place") == F.col("_bucket"))
+    bit = F.bitmap_bit_position("_place").cast("int")
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))) != 0
+    return met.filter(marked).select(*texts.columns)
+
+
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id: the class of each document, named by its smallest doc_id.
 
@@ -233,8 +257,7 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows = materialize(buckets(representatives), "buckets")
     stars = materialize(star_pairs(rows), "pairs")
     paired = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id"))).distinct()
-    texts = named.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(paired, "doc_id", "left_semi")
-    sets = materialize(shingle_sets(texts), "sets")
+    sets = materialize(shingle_sets(possible(named.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), paired)), "sets")
     links = materialize(similar(stars, sets, similarity), "links")
     roots = components(links)
     rare = materialize(rare_shingles(still_open(rows, roots), sets, similarity), "rare")

@@ -198,3 +198,13 @@ def test_whole_licences_are_found(spark):
     got = license_scan.license_scan(as_docs(spark, texts)).filter("line = -1").collect()
     assert sorted((r.doc_id, r.license) for r in got) == [(0, "MIT"), (1, "BSD-3-Clause")]
     assert not license_scan.license_scan(as_docs(spark, texts), license_scan.TEMPLATES).filter("line = -1").count()
+
+
+def test_texts_wanted_stay_without_a_shuffle(spark):
+    texts = spark.range(20_000).select((F.col("id") * 7919 - 50_000).alias("doc_id"), F.lit("t").alias("text"))
+    wanted = texts.filter("doc_id % 10 = 0").select("doc_id").distinct()
+    for bits, most in ((16, 0.2), (1, 1.0)):
+        got = near_dedup.possible(texts, wanted, bits, max_bitmaps=1 if bits == 1 else 64)
+        assert wanted.join(got, "doc_id", "left_anti").count() == 0
+        assert got.count() == got.select("doc_id").distinct().count() <= most * 20_000
+    assert near_dedup.possible(texts, wanted.limit(0)).count() == 0
