@@ -64,9 +64,10 @@ def items_of(documents: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table read as a stream of files."""
+    """A table read as a stream of files, be it one file or a folder of them."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # A pattern that only the table's own name matches: a stream takes a single file by pattern only.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
