@@ -128,10 +128,12 @@ def _unescape_strip(value: Column) -> Column:
     return strip(html_unescape(value))
 
 
-def iso_format(ts: Column) -> Column:
-    """ISO-8601 text; the fraction is written only when there is one."""
+def iso_format(ts: Column, micros_always: bool = False) -> Column:
+    """ISO-8601 text; the fraction is written only when there is one, or always."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(ts, "SSSSSS")
+    if micros_always:
+        return F.concat(whole, F.lit("."), micros)
     return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
 
 

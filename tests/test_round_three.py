@@ -1,10 +1,13 @@
 """Tables as folders of files, whole seconds, many small files: inputs on which earlier versions failed."""
 
+import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from feedloom.functions import text
 from tests.compare import differences, duck
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -23,3 +26,16 @@ def folders(spark, tmp_path_factory):
 def test_streams_of_tables_in_folders(spark, folders, key):
     root, con = folders
     assert differences(entry.queries()[key](spark, root), con, entry.oracle_sql()[key]) is None
+
+
+def test_iso_roundtrip_of_whole_seconds(spark, tmp_path):
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5)
+    rows = [(n, moment + dt.timedelta(microseconds=us)) for n, us in enumerate((0, 0, 0, 7, 120000, 999999))]
+    spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP_NTZ").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert differences(entry.queries()["iso_roundtrip"](spark, str(tmp_path)), con, entry.oracle_sql()["iso_roundtrip"]) is None
+    shown = spark.range(1).select(F.lit(moment).alias("t")).select(text.iso_format(F.col("t")), text.iso_format(F.col("t"), micros_always=True)).first()
+    assert tuple(shown) == ("2024-01-02T03:04:05", "2024-01-02T03:04:05.000000")
