@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,13 +21,13 @@ from feedloom.sources.feeds import _fields, _parse, _pieces, _plain_sections, _u
 LARGE = 32 << 20
 #: Longest record; what stands between two end tags beyond it is no entry a parser could take.
 RECORD = 256 << 20
-#: Bytes and tags of a file's head that may come before its outermost tag.
-_HEAD, _TAGS = 1 << 16, 64
+#: Bytes of a tag that may stand before the outermost one.
+_HEAD = 1 << 16
 _LINE = "mapreduce.input.linerecordreader.line.maxlength"
 # Where an entry begins, with or without a prefix.
 _OPENED = r"<(?:[A-Za-z_][\w.-]*:)?(?:item|entry)[\s>]"
 # Declarations, comments and instructions come before the outermost tag.
-_OUTERMOST = r"<(?:([A-Za-z_][\w.-]*):)?([A-Za-z][\w.-]*)"
+_FIRST = r"\A[\s\x{FEFF}]*<(?:([A-Za-z_][\w.-]*):)?([A-Za-z][\w.-]*)"
 
 
 def feed_files(spark: SparkSession, root: str, stream: bool = False, per_batch: int = 1000) -> DataFrame:
@@ -38,21 +39,32 @@ def feed_files(spark: SparkSession, root: str, stream: bool = False, per_batch:
     return reader.load(root).select("path", "length")
 
 
-def end_tag(spark: SparkSession, path: str) -> str:
-    """End tag of the entries of a file, by its outermost tag: ``feed`` holds entries under its own prefix, anything else items."""
-    head = spark.read.option("lineSep", ">").option(_LINE, _HEAD).text(path).limit(_TAGS).select(F.substring("value", 1, 4096).alias("tag"))
-    for row in head.collect():
-        found = [part for part in [_outermost(row["tag"])] if part]
-        if found:
-            prefix, name = found[0]
-            return f"</{prefix + ':' if prefix else ''}entry>" if name == "feed" else "</item>"
-    return "</item>"
+def end_tags(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by the end tag of their entries, told by the outermost tag: ``feed`` holds entries under its own prefix, anything else items.
+
+    One job for all files, of which only first blocks are looked at; one row of each file comes to the driver.
+    """
+    raw = spark.read.option("lineSep", ">").option(_LINE, _HEAD).text(list(paths))
+    heads = raw.filter(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("id"), F.substring("value", 1, 4096).alias("tag"))
+    named = heads.filter(F.col("tag").rlike(_FIRST)).groupBy("path").agg(F.min_by("tag", "id").alias("tag"))
+    prefix, name = (F.regexp_extract("tag", _FIRST, n) for n in (1, 2))
+    entry = F.concat(F.lit("</"), F.when(prefix == "", "").otherwise(F.concat(prefix, F.lit(":"))), F.lit("entry>"))
+    found = {_bare(unquote(r["path"])): r["end"] for r in named.select("path", F.when(name == "feed", entry).otherwise("</item>").alias("end")).collect()}
+    by_tag: dict[str, list[str]] = {}
+    for path in paths:
+        by_tag.setdefault(found.get(_bare(path), "</item>"), []).append(path)
+    return by_tag
 
 
-def _outermost(tag: str) -> tuple[str, str] | None:
-    text = tag.strip().lstrip("﻿")
-    match = re.match(_OUTERMOST, text)
-    return (match[1] or "", match[2]) if match else None
+def _bare(path: str) -> str:
+    """A path without its scheme, which a caller may leave out."""
+    return re.sub(r"\A[A-Za-z][\w+.-]*:/*", "/", path)
+
+
+def end_tag(spark: SparkSession, path: str) -> str:
+    """End tag of the entries of one file."""
+    return next(iter(end_tags(spark, [path])))
 
 
 def records(spark: SparkSession, paths: Sequence[str], tag: str, root: str) -> DataFrame:
@@ -64,8 +76,9 @@ def records(spark: SparkSession, paths: Sequence[str], tag: str, root: str) -> D
     reader = spark.read.format("text").schema("value STRING, feed_rank INT, feed_url STRING").option("basePath", root)
     raw = reader.option("lineSep", tag).option(_LINE, RECORD).load(list(paths))
     block = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    piece = chain(F.concat("value", F.lit(tag)), _plain_sections, _unprefixed, _pieces)
-    complete = raw.select("feed_url", "feed_rank", block.alias("block"), F.get(piece, 0).alias("piece")).filter("piece IS NOT NULL")
+    pieces = chain(F.concat("value", F.lit(tag)), _plain_sections, _unprefixed, _pieces)
+    # Behind a generator, so that the test for an entry does not cut it out a second time.
+    complete = raw.select("feed_url", "feed_rank", block.alias("block"), F.explode(F.slice(pieces, 1, 1)).alias("piece"))
     # Numbered behind the filter: within a block, entries count up one by one.
     numbered = complete.withColumn("id", F.monotonically_increasing_id())
     counts = numbered.groupBy("block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -92,11 +105,8 @@ def _cut_off(raw: DataFrame, tag: str) -> DataFrame:
 
 def record_items(spark: SparkSession, paths: Sequence[str], root: str) -> DataFrame:
     """Items of large feed files, as ``feed_scan`` gives them; RSS and Atom files are united by the names of their fields."""
-    by_tag: dict[str, list[str]] = {}
-    for path in paths:
-        by_tag.setdefault(end_tag(spark, path), []).append(path)
     out = None
-    for tag, of_tag in by_tag.items():
+    for tag, of_tag in end_tags(spark, paths).items():
         parsed = records(spark, of_tag, tag, root).select(
             F.col("feed_url").alias("source_feed"), "feed_rank", F.col("entry_pos").cast("int").alias("entry_pos"), _once(_parse(F.col("piece"))))
         items = item_normalize(_fields(parsed))

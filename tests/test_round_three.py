@@ -39,3 +39,21 @@ def test_iso_roundtrip_of_whole_seconds(spark, tmp_path):
     assert differences(entry.queries()["iso_roundtrip"](spark, str(tmp_path)), con, entry.oracle_sql()["iso_roundtrip"]) is None
     shown = spark.range(1).select(F.lit(moment).alias("t")).select(text.iso_format(F.col("t")), text.iso_format(F.col("t"), micros_always=True)).first()
     assert tuple(shown) == ("2024-01-02T03:04:05", "2024-01-02T03:04:05.000000")
+
+
+def test_kinds_of_many_files_are_told_by_one_job(spark, tmp_path):
+    """One job, not one for each file; names with signs, and a path without its scheme, are found too."""
+    from feedloom.sources import records
+
+    for n in range(40):
+        folder = tmp_path / "in" / f"feed_rank={n}" / f"feed_url=a%3A b{n}é"
+        folder.mkdir(parents=True)
+        (folder / "x.txt").write_text("<?xml?>\n" + ("<feed><entry>" if n % 2 else "<!-- a > b --><rss><feed>"))
+    paths = [r.path for r in records.feed_files(spark, str(tmp_path / "in")).collect()]
+    spark.sparkContext.setJobGroup("kinds", "kinds")
+    tags = records.end_tags(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("kinds")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {t: len(p) for t, p in tags.items()} == {"</entry>": 20, "</item>": 20} and len(jobs) < 10
+    odd = next(p for p in paths if "feed_rank=1/" in p)
+    assert records.end_tag(spark, odd) == records.end_tag(spark, odd.removeprefix("file:")) == "</entry>"
