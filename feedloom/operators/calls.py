@@ -9,11 +9,16 @@ import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from typing import BinaryIO
 
 from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs
 
 # (reply, attempts, error, milliseconds, prompt tokens, candidates tokens, total tokens)
 Answer = tuple
+#: Hexadecimal digits of a hash that name its shard of the journal.
+SHARD_DIGITS = 3
+#: Logs that a journal keeps open.
+LOGS = 16
 
 
 class Pace:
@@ -42,36 +47,68 @@ def reachable(folder: str) -> bool:
 
 
 class Journal:
-    """Answers as small files of a shared folder, each named by the hash of what was asked.
+    """Answers by the hash of what was asked, in logs of a shared folder; a shard of the hashes has a folder of its own.
 
-    An entry appears whole or not at all, so a task that takes over from a lost one finds what that one was answered.
+    Whoever writes has one log in each shard, to which a line is added before the answer is used, so a task that takes over
+    from a lost one finds what that one was answered. File systems other than local or mounted ones add no lines; there each answer is a file.
     """
 
     def __init__(self, folder: str) -> None:
         self._files, self._root = fs.FileSystem.from_uri(folder)
+        self._local = isinstance(self._files, fs.LocalFileSystem)
+        self._known: dict[str, dict[str, list]] = {}
         self._made: set[str] = set()
+        self._logs: dict[str, BinaryIO] = {}
+        self._name, self._lock = uuid.uuid4().hex, threading.Lock()
 
-    def _path(self, asked: str) -> tuple[str, str]:
+    @staticmethod
+    def _place(asked: str) -> tuple[str, str]:
         name = hashlib.sha256(asked.encode()).hexdigest()
-        return f"{self._root}/{name[:2]}", f"{name}.json"
+        return name[:SHARD_DIGITS], name
+
+    def _read(self, shard: str) -> dict[str, list]:
+        known = {}
+        for log in self._files.get_file_info(fs.FileSelector(f"{self._root}/{shard}", allow_not_found=True)):
+            with self._files.open_input_stream(log.path) as lines:
+                for line in lines.read().split(b"\n"):
+                    try:
+                        name, answer = json.loads(line)
+                    except ValueError:  # a lost task's last line may have been cut off
+                        continue
+                    known[name] = answer
+        return known
 
     def get(self, asked: str) -> Answer | None:
-        folder, name = self._path(asked)
-        try:
-            with self._files.open_input_stream(f"{folder}/{name}") as entry:
-                return tuple(json.loads(entry.read()))
-        except FileNotFoundError:
-            return None
+        shard, name = self._place(asked)
+        if shard not in self._known:
+            with self._lock:
+                if shard not in self._known:
+                    self._known[shard] = self._read(shard)
+        found = self._known[shard].get(name)
+        return None if found is None else tuple(found)
+
+    def _log(self, path: str) -> BinaryIO:
+        """An open log without a buffer: what is written is in the file even if the worker ends at once."""
+        if path not in self._logs:
+            if len(self._logs) == LOGS:
+                self._logs.pop(next(iter(self._logs))).close()
+            self._logs[path] = open(path, "ab", buffering=0)  # noqa: SIM115
+        return self._logs[path]
 
     def put(self, asked: str, answer: Answer) -> None:
-        folder, name = self._path(asked)
-        if folder not in self._made:
-            self._files.create_dir(folder, recursive=True)
-            self._made.add(folder)
-        draft = f"{folder}/{name}.{uuid.uuid4().hex}"
-        with self._files.open_output_stream(draft) as entry:
-            entry.write(json.dumps(answer).encode())
-        self._files.move(draft, f"{folder}/{name}")
+        shard, name = self._place(asked)
+        folder = f"{self._root}/{shard}"
+        # Begins a line of its own, whatever stands before it.
+        line = f"\n{json.dumps([name, answer])}\n".encode()
+        with self._lock:
+            if shard not in self._made:
+                self._files.create_dir(folder, recursive=True)
+                self._made.add(shard)
+            if self._local:
+                self._log(f"{folder}/{self._name}.jsonl").write(line)
+                return
+        with self._files.open_output_stream(f"{folder}/{uuid.uuid4().hex}.jsonl") as entry:
+            entry.write(line)
 
 
 def ask_all(

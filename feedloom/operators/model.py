@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import text
 from feedloom.functions.markup import tutorial_body
 from feedloom.operators import prompts
-from feedloom.operators.calls import Journal, ask_all, reachable
+from feedloom.operators.calls import SHARD_DIGITS, Journal, ask_all, reachable
 from feedloom.operators.items import essential_keys, snippet_fallback
 from feedloom.operators.joins import context_cross
 from feedloom.sources.replies import model_json_scan
@@ -46,7 +46,7 @@ def model_call(
     """Ask the model every ``prompt``; returns the keys and the answer, written once.
 
     Prompts are dealt over as many tasks as hold about ``per_task`` each, so tasks grow with the table and the cluster's cores
-    say how many run. Within a task ``concurrency`` calls run at a time, each with a client that ``factory`` builds, and
+    say how many run; from 4096 tasks on, one for each shard of the journal, which spares a lost one its calls, tasks hold more instead. Within a task ``concurrency`` calls run at a time, each with a client that ``factory`` builds, and
     begin at most ``rate`` times a second. Answers stand in the order of the prompts.
 
     Exceptions and empty replies are tried again after ``delay * attempt``
@@ -76,7 +76,13 @@ def model_call(
     identity = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(task).alias("task"), F.array(*[F.col(k).cast("string") for k in keys]).alias("keys"), "prompt"))
     questions = materialize(asked.select(*keys, "prompt", identity.alias("_asked")), f"asked-{task}")
     tasks = max(1, math.ceil(questions.count() / per_task))
-    spread = questions.repartition(tasks, "_asked")
+    if folder:
+        # By shards of the journal, so that a task reads and writes few logs.
+        tasks = min(tasks, 16**SHARD_DIGITS)
+        shard = F.conv(F.substring(F.sha2("_asked", 256), 1, SHARD_DIGITS), 16, 10).cast("int")
+        spread = questions.repartitionById(tasks, F.pmod(shard, F.lit(tasks)))
+    else:
+        spread = questions.repartition(tasks, "_asked")
     return materialize(spread.mapInPandas(answer, f"{schema}, {_ANSWER}"), f"model-{task}")
 
 

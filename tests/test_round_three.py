@@ -57,3 +57,28 @@ def test_kinds_of_many_files_are_told_by_one_job(spark, tmp_path):
     assert {t: len(p) for t, p in tags.items()} == {"</entry>": 20, "</item>": 20} and len(jobs) < 10
     odd = next(p for p in paths if "feed_rank=1/" in p)
     assert records.end_tag(spark, odd) == records.end_tag(spark, odd.removeprefix("file:")) == "</entry>"
+
+
+def test_tasks_of_calls_end_at_the_shards_of_the_journal(frame, tmp_path, monkeypatch):
+    """However many prompts there are."""
+    from feedloom.operators import model
+
+    monkeypatch.setattr(model, "SHARD_DIGITS", 1)
+    asked = frame([(i, f"p{i}") for i in range(200)], "i INT, prompt STRING")
+    book = tmp_path / "book"
+    got = model.model_call(asked, lambda: lambda prompt: (f"re {prompt}", None), "m", "t", ["i"], per_task=2, journal=str(book))
+    assert {r.i: r.reply for r in got.collect()} == {i: f"re p{i}" for i in range(200)}
+    assert len(got.inputFiles()) <= 16
+    again = model.model_call(asked, lambda: lambda prompt: (None, None), "m", "t", ["i"], retries=1, per_task=50, journal=str(book))
+    assert again.filter("reply IS NULL").isEmpty()
+
+
+def test_journal_passes_over_a_line_that_was_cut_off(tmp_path):
+    from feedloom.operators import calls
+
+    book = calls.Journal(str(tmp_path))
+    book.put("a", ("x", 1, None, 5, 1, 2, 3))
+    (log,) = tmp_path.rglob("*.jsonl")
+    log.write_bytes(log.read_bytes() + b'\n["half')
+    book.put("a", ("y", 1, None, 5, 1, 2, 3))
+    assert calls.Journal(str(tmp_path)).get("a")[0] == "y"
