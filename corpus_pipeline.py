@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from feedloom.llm import line_dedup, near_dedup, packing, quality_rules, substring_dedup
 from feedloom.storage import materialize
 
+#: Words a worker remembers; idle workers keep them beside the stages of the next run.
+REMEMBERED = 100_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -41,7 +44,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens along the Hilbert curve."""
-    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

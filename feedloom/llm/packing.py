@@ -49,7 +49,8 @@ def _ends_in_letter(core: str) -> bool:
 class Words:
     """Ids of words by one vocabulary; words that come again are remembered."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
@@ -91,8 +92,8 @@ class Words:
 
     def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text, with the end id."""
-        if len(self.known) > REMEMBERED:
-            self.known = dict(islice(self.known.items(), len(self.known) - REMEMBERED // 2, None))
+        if len(self.known) > self.remembered:
+            self.known = dict(islice(self.known.items(), len(self.known) - self.remembered // 2, None))
         texts_words = [split(text) for text in texts]
         self._learn(list(set().union(*texts_words).difference(self.known)))
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -100,8 +101,8 @@ class Words:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Words:
-    return Words(path)
+def vocabulary(path: str, remembered: int = REMEMBERED) -> Words:
+    return Words(path, remembered)
 
 
 def projection() -> np.ndarray:
@@ -148,11 +149,11 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def placed(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def placed(docs: DataFrame, path: str, end_id: int, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, curve (place on the curve), ids (32-bit little-endian, the end id last)."""
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
+        words = vocabulary(path, remembered)
         for batch in slices(tables):
             ids = words.ids(batch.column("text").to_pylist(), end_id)
             curve = hilbert_key(grid(hashed_vectors(ids)))
@@ -200,7 +201,7 @@ def _cut(parts: list[tuple], size: int) -> tuple[list[tuple], list[tuple]]:
     return head, []
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, start, length, ids (binary), doc_tokens, sequence_id, offset: one row per piece of a document.
 
     Documents lie along the Hilbert curve of their projected hashed vectors;
@@ -211,11 +212,12 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
 
     NULL and empty texts are the end id alone. Each row is packed for itself,
     also repeated rows and rows without doc_id (which come first among equal
-    places); other columns play no part. ``length`` must be a power of two.
+    places); other columns play no part. ``length`` must be a power of two. A worker keeps the ids of
+    ``remembered`` words, also when it is idle; fewer take less memory from what else runs there, and give the same ids.
     """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
-    ranged = materialize(placed(docs, path, end_id), "placed").repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")
+    ranged = materialize(placed(docs, path, end_id, remembered), "placed").repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 

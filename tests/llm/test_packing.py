@@ -87,3 +87,13 @@ def test_hilbert_curve_visits_neighbours():
     order = grid[np.argsort(packing.hilbert_key(grid, bits))]
     assert len(np.unique(packing.hilbert_key(grid, bits))) == side ** 3
     assert (np.abs(np.diff(order, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_forgotten_words_get_the_same_ids():
+    """A worker that remembers few words gives the ids of one that remembers all."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few, all_words = packing.Words(path, 20), packing.Words(path)
+    for n in range(6):
+        texts = [" ".join(f"w{(n * 7 + i * k) % 61}abc, Größe{i}." for i in range(30)) for k in range(1, 4)]
+        assert [x.tolist() for x in few.ids(texts, 1)] == [x.tolist() for x in all_words.ids(texts, 1)]
+    assert len(few.known) < len(all_words.known)
