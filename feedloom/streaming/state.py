@@ -1,18 +1,19 @@
 """State by key that lasts across micro-batches: which links were used, and the newest items of each feed's day.
 
-Both run as stateful processors, whose state needs the RocksDB store; ``state_store`` sets it for the
-queries started inside. State is changed key by key, never rewritten as a whole, and a checkpoint that is taken up again goes on with it.
+Both keep their state in the RocksDB store; ``state_store`` sets it for the queries started inside.
+State is changed bucket by bucket or key by key, never rewritten as a whole, and a checkpoint that is taken up again goes on with it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from feedloom.operators.joins import limit_lookup
 from feedloom.operators.ranking import top_k
@@ -30,6 +31,8 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 DAY_MS = 24 * 3600 * 1000
 #: Parts a key's rows are dealt over, so that one link or feed with a large share of all rows is not one task.
 SALTS = 8
+#: Groups of links by a hash that hold their state together; a checkpoint belongs to one number of them.
+BUCKETS = 1024
 
 
 @contextmanager
@@ -50,36 +53,40 @@ def state_store(spark: SparkSession, timers: bool = False, partitions: int | Non
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-class UsedLinks(StatefulProcessor):
-    """The last use of a link, kept for ``ttl_ms`` after it was set; lets items pass whose link is not in use."""
+def _last_uses(days: float, ttl_ms: int) -> Callable:
+    """The last uses of a bucket's links, each kept for ``ttl_ms`` after it was set; lets items pass whose link is not in use.
 
-    def __init__(self, days: float, ttl_ms: int) -> None:
-        self._window, self._ttl_ms = int(days * DAY_MS * 1000), ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._used = handle.getValueState("used", "at bigint", self._ttl_ms)
+    A bucket's state comes with its rows, so no link is a question to the store of its own.
+    """
+    window = int(days * DAY_MS * 1000)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """Uses of a micro-batch count before its items."""
-        waiting, latest = [], None
-        for frame in rows:
-            uses = frame.loc[frame["item"].isna(), "at"]
-            if len(uses):
-                latest = max(int(uses.max()), latest or int(uses.max()))
-            items = frame.loc[frame["item"].notna(), ["at", "item"]]
-            if len(items):
-                waiting.append(items)
-        known = self._used.get()[0] if self._used.exists() else None
-        if latest is not None and (known is None or latest > known):
-            self._used.update((latest,))
-            known = latest
+        now = state.getCurrentProcessingTimeMs()
+        held = list(zip(*state.get)) if state.exists else []
+        known = {url: (at, until) for url, at, until in held if until > now}
+        changed = len(known) < len(held)
+        waiting = []
+        for frame in () if state.hasTimedOut else frames:
+            use = frame["item"].isna()
+            for url, at in zip(frame.loc[use, "url"].tolist(), frame.loc[use, "at"].tolist()):
+                if url not in known or at > known[url][0]:
+                    known[url] = (at, now + ttl_ms)
+                    changed = True
+            if not use.all():
+                waiting.append(frame.loc[~use, ["url", "at", "item"]])
+        if changed and known:
+            state.update((list(known), *map(list, zip(*known.values()))))
+        elif changed:
+            state.remove()
+        if known:
+            state.setTimeoutDuration(max(min(until for _, until in known.values()) - now, 1))
         for items in waiting:
-            free = items if known is None else items[items["at"] - self._window > known]
-            if len(free):
-                yield free[["item"]]
+            free = [url not in known or at - window > known[url][0] for url, at in zip(items["url"].tolist(), items["at"].tolist())]
+            if any(free):
+                yield items.loc[free, ["item"]]
 
-    def close(self) -> None:
-        pass
+    return step
 
 
 def _micros(ts: str) -> Column:
@@ -94,9 +101,10 @@ def _spread(used: DataFrame, salts: int) -> DataFrame:
 
 
 def _kept(events: DataFrame, days: float, ttl_days: float) -> DataFrame:
-    processor = UsedLinks(days, int(ttl_days * DAY_MS))
-    return events.groupBy("url", "part").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType="item string", outputMode="append", timeMode="processingTime")
+    bucket = F.pmod(F.xxhash64("url"), F.lit(BUCKETS)).cast("int").alias("bucket")
+    return events.select(bucket, "part", "url", "at", "item").groupBy("bucket", "part").applyInPandasWithState(
+        _last_uses(days, int(ttl_days * DAY_MS)), "item string", "urls array<string>, at array<bigint>, until array<bigint>", "append",
+        GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def stream_used(used: DataFrame, days: float = 7, spare: float = 7, salts: int = SALTS) -> DataFrame:
@@ -109,8 +117,8 @@ def stream_unused(
 ) -> DataFrame:
     """Items whose link was not used within ``days`` before they were seen, against all uses of this and earlier micro-batches.
 
-    ``items`` and ``used`` (url, ts) are streams. A link's last use is state of its own, renewed by a later use, never by an
-    earlier one; it expires by the wall clock ``days + spare`` after it was set, where ``spare`` must cover how long
+    ``items`` and ``used`` (url, ts) are streams. A link's last use is kept with those of its bucket, renewed by a later use, never
+    by an earlier one; it expires by the wall clock ``days + spare`` after it was set, where ``spare`` must cover how long
     items may wait before they are processed. Whether an item passes is decided by its own clock, so results do not
     depend on when state is cleaned. Items without a link, or with the stand-in for one, pass. Rows without ``seen`` or
     ``ts``: the item passes, the use is ignored. A link's items are dealt over ``salts`` parts that each know its use.
@@ -128,9 +136,9 @@ def stream_unused(
 def used_links(spark: SparkSession, base: str) -> DataFrame:
     """url, ts: the last use of every link that the query with this folder remembers, read from its state store."""
     with state_store(spark):
-        state = spark.read.format("statestore").option("stateVarName", "used").load(f"{base}/checkpoint")
-        values = state.select(F.col("key.url").alias("url"), F.col("value.value.at" if "ttlExpirationMs" in state.schema["value"].dataType.names else "value.at").alias("at"))
-        return values.groupBy("url").agg(F.timestamp_micros(F.max("at")).alias("ts"))
+        held = spark.read.format("statestore").load(f"{base}/checkpoint").select("value.groupState.*")
+        uses = held.select(F.explode(F.arrays_zip("urls", "at", "until")).alias("use")).filter(F.col("use.until") > F.unix_millis(F.current_timestamp()))
+        return uses.groupBy(F.col("use.urls").alias("url")).agg(F.timestamp_micros(F.max("use.at")).alias("ts"))
 
 
 class NewestOfDay(StatefulProcessor):
