@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.ranking import first_per
-from feedloom.operators.selection import CONTENT, item_identity, newest_first
+from feedloom.operators.selection import item_identity
 from feedloom.params import NO_SUMMARY, NO_TITLE
 from feedloom.storage import materialize
 
@@ -46,26 +46,59 @@ def near_dup_shingles(items: DataFrame, similarity: float = SIMILARITY, size: in
     shingles of title and summary; an item goes also if the earlier one goes itself.
     Items without a word all stay. The result is exact: see ``losers``.
     """
-    order = [F.col("feed_rank"), *newest_first(), F.col("source_feed")]
-    marked = items.withColumn("_set", shingle_set(story_text(), size))
-    same = F.when(F.size("_set") > 0, F.sha2(F.array_join("_set", " "), 256))
-    first = first_per(marked, same, order, item_identity())
-    # Sorted by range, so that ascending numbers mean later items; only numbers and hashes are written.
-    key = [c.alias(f"_k{i}") for i, c in enumerate(item_identity())]
-    names = [f"_k{i}" for i in range(len(key))]
-    lean = first.filter(F.size("_set") > 0).select(*key, "feed_rank", "published", F.col("_set").alias("shingles"))
-    feed, position, content = (F.col(n) for n in names)
-    ordered = lean.orderBy("feed_rank", F.col("published").desc_nulls_last(), position, content, feed)
-    stories = materialize(ordered.select(*names, F.monotonically_increasing_id().alias("story"), "shingles"), "stories")
-    gone = stories.join(losers(stories.select("story", "shingles"), similarity), "story", "left_semi").select(*names)
-    kept = first.drop("_set").alias("_item")
-    same_item = [c.eqNullSafe(F.col(f"_gone.{n}")) for c, n in zip(_of("_item"), names)]
-    return kept.join(gone.alias("_gone"), same_item, "left_anti")
-
-
-def _of(side: str) -> list[Column]:
-    """The identity of an item, read from one side of a join."""
-    return [F.col(f"{side}.source_feed"), F.col(f"{side}.entry_pos"), F.xxhash64(*[F.col(f"{side}.{c}") for c in CONTENT])]
+    feed, position, content = F.col("feed"), F.col("position"), F.col("content")
+    order = [F.col("feed_rank"), F.col("published").desc_nulls_last(), position, content, feed]
+    of_set = F.transform(F.array(shingle_set(story_text(), size)), lambda s: F.struct(
+        F.when(F.size(s) > 0, F.sha2(F.array_join(s, " "), 256)).alias("same"), F.xxhash64(s).alias("set"),
+        _need(F.size(s), similarity).alias("need"), F.slice(s, 1, _prefix(F.size(s), similarity)).alias("prefix"),
+    ))[0]
+    # The item's own columns stay together, whatever their names.
+    marked = items.select(
+        F.struct("*").alias("item"), *[c.alias(n) for c, n in zip(item_identity(), ("feed", "position", "content"))], "feed_rank", "published", of_set.alias("of"),
+    ).select("item", "feed", "position", "content", "feed_rank", "published", "of.*")
+    # Rows are numbered where they are written, so that what follows needs numbers and hashes only; texts are read again for the kept.
+    written = materialize(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
+    lean = written.select("row", "feed", "position", "content", "feed_rank", "published", "same", "set")
+    first = materialize(first_per(lean, F.col("same"), order, [feed, position, content]), "first")
+    tried = first.filter("same IS NOT NULL").join(_meeting(written), "set", "left_semi")
+    # Sorted by range, so that ascending numbers mean later items.
+    numbers = materialize(tried.orderBy(*order).select("row", F.monotonically_increasing_id().alias("story")), "numbers")
+    texts = written.select("row", "item.title", "item.summary").join(numbers, "row")
+    stories = materialize(texts.select("story", shingle_set(story_text(), size).alias("shingles")), "stories")
+    gone = numbers.join(losers(stories, similarity), "story", "left_semi").select("row")
+    kept = first.select("row").join(gone, "row", "left_anti")
+    return written.join(kept, "row", "left_semi").select("item.*")
+
+
+def _least(n: Column, similarity: float) -> Column:
+    """Shingles that a set of ``n`` has in common with a similar one at least."""
+    return F.ceil(similarity * n - _EPSILON)
+
+
+def _lead(least: Column) -> Column:
+    return F.floor(least / 8) + 1
+
+
+def _prefix(n: Column, similarity: float) -> Column:
+    """So many of the smallest hashes of a set hold the ``_lead`` smallest that it has in common with a similar one."""
+    return F.when(n > 0, n - _least(n, similarity) + _lead(_least(n, similarity))).otherwise(0).cast("int")
+
+
+def _need(n: Column, similarity: float) -> Column:
+    """Smallest lead of a similar set, which has ``_least`` shingles or more."""
+    return _lead(_least(_least(n, similarity), similarity)).cast("int")
+
+
+def _meeting(written: DataFrame) -> DataFrame:
+    """set: hashes of the sets that may have a similar one.
+
+    Of two similar sets the smaller lead of smallest common hashes lies within the prefixes of both. A set with fewer
+    hashes in its prefix that any other set has in its own is similar to none; copies of a set are no others.
+    """
+    each = written.select(F.explode("prefix").alias("shingle"), "set", "need")
+    by_shingle = Window.partitionBy("shingle")
+    met = each.withColumns({"low": F.min("set").over(by_shingle), "high": F.max("set").over(by_shingle)}).filter("low <> high")
+    return met.groupBy("set").agg(F.count(F.lit(1)).alias("met"), F.max("need").alias("need")).filter("met >= need").select("set")
 
 
 def losers(stories: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
