@@ -1,7 +1,9 @@
 """Landed RSS and Atom documents to items.
 
 Landing layout: ``<root>/feed_rank=<n>/feed_url=<escaped address>/<file>``, so
-both columns come from the path and a filter on them prunes folders.
+both columns come from the path and a filter on them prunes folders. A folder for
+each feed costs listings and renames one by one; a run that fetches many feeds
+lands them packed instead, as rows of Parquet files.
 """
 
 from __future__ import annotations
@@ -25,13 +27,17 @@ _ENTRY = (
 )
 # The prefix of entries that stand in a namespace by name.
 _PREFIX = r"<([A-Za-z][A-Za-z0-9_.-]*):(?:item|entry)[\s>]"
+# Bytes of feed documents that a packed file's reader takes up at a time, and the unit in which tasks share a file.
+_PACK = 16 << 20
 # References XML itself does not know stay as text for html_unescape.
 _FOREIGN_REFERENCE = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)"
 
 
-def read_bodies(spark: SparkSession, root: str, stream: bool = False) -> DataFrame:
+def read_bodies(spark: SparkSession, root: str, stream: bool = False, packed: bool = False) -> DataFrame:
     """Landed feed documents as rows of (feed_url, feed_rank, body)."""
     reader = spark.readStream if stream else spark.read
+    if packed:
+        return reader.schema("feed_url STRING, feed_rank INT, body STRING").parquet(root)
     return (
         reader.format("text").schema("value STRING, feed_rank INT, feed_url STRING")
         .option("wholetext", True).load(root)
@@ -39,7 +45,11 @@ def read_bodies(spark: SparkSession, root: str, stream: bool = False) -> DataFra
     )
 
 
-def write_bodies(bodies: DataFrame, root: str) -> None:
+def write_bodies(bodies: DataFrame, root: str, packed: bool = False) -> None:
+    """Land feed documents, each as a file of its own, or ``packed`` as rows of one file for each task."""
+    if packed:
+        bodies.select("feed_url", "feed_rank", "body").write.mode("append").option("parquet.block.size", _PACK).parquet(root)
+        return
     bodies.select("feed_rank", "feed_url", F.col("body").alias("value")).write.mode("append").partitionBy(
         "feed_rank", "feed_url"
     ).option("lineSep", "\n").text(root)

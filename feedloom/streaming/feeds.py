@@ -21,9 +21,9 @@ from feedloom.sources.feeds import feed_scan, read_bodies
 from feedloom.sources.history import HistoryLog, HistoryStore
 
 
-def stream_items(spark: SparkSession, root: str) -> DataFrame:
-    """Items of feed documents as they land; the batch parser on a stream."""
-    return feed_scan(read_bodies(spark, root, stream=True))
+def stream_items(spark: SparkSession, root: str, packed: bool = False) -> DataFrame:
+    """Items of feed documents as they land, file by file or ``packed``; the batch parser on a stream."""
+    return feed_scan(read_bodies(spark, root, stream=True, packed=packed))
 
 
 def stream_dedup(items: DataFrame, days: int = 7, seen: str = "seen_at") -> DataFrame:
