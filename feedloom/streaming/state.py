@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from heapq import heappush, heapreplace
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -178,6 +181,34 @@ class NewestOfDay(StatefulProcessor):
         pass
 
 
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each batch that can be among the newest of their feed and day.
+
+    A row is left out if as many rows as the feed's limit come before it that were seen no earlier: whichever of them the
+    watermark leaves out as late, it leaves out the row too. So the last moment seen stays, and the watermark is as it would be.
+    """
+    for batch in batches:
+        day, seen, entry, content, limit = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_day", "_seen", "_entry", "_content", "feed_limit"))
+        dateless = batch.column("_published").is_null().to_numpy(zero_copy_only=False)
+        published = batch.column("_published").fill_null(0).to_numpy()
+        place = np.empty(batch.num_rows, dtype=np.int64)
+        place[np.lexsort((content, entry, -published, dateless))] = np.arange(batch.num_rows)
+        latest = np.lexsort((place, -seen))
+        feed = batch.column("source_feed").dictionary_encode().indices.to_numpy()
+        kept: list[int] = []
+        best: dict[tuple, list[int]] = {}
+        for row, *key, at, most in zip(*(x.tolist() for x in (latest, feed[latest], day.astype("datetime64[D]").astype(np.int64)[latest], place[latest], limit[latest]))):
+            heap = best.setdefault(tuple(key), [])
+            if len(heap) < most:
+                heappush(heap, -at)
+            elif at < -heap[0]:
+                heapreplace(heap, -at)
+            else:
+                continue
+            kept.append(row)
+        yield batch.take(pa.array(sorted(kept), pa.int64()))
+
+
 def stream_newest_per_feed(
     items: DataFrame, limits: DataFrame, default_limit: int, seen: str = "seen_at", zone: str = "Europe/Paris", start_hour: int = 6,
     late: str = "1 hour", salts: int = SALTS,
@@ -187,17 +218,21 @@ def stream_newest_per_feed(
     Each feed's day is dealt over ``salts`` parts, and each keeps an ordered list of no more rows than the feed's limit; so
     state is bounded whatever arrives, and no feed is one task. A day is closed, its list given out and
     forgotten, once items seen ``late`` after its end have come; an item that is later still belongs to no digest and is left out, as is
-    one without feed or ``seen``. Equal items that arrive twice hold two places, as they do in a batch.
+    one without feed or ``seen``. Equal items that arrive twice hold two places, as they do in a batch. Before the shuffle each task leaves
+    out what cannot be among a feed's newest.
     """
     day = digest_day(seen, zone, start_hour)
-    end = F.to_utc_timestamp(F.date_add(day, 1).cast("timestamp") + F.expr(f"INTERVAL {int(start_hour)} HOURS"), zone)
+    end = F.to_utc_timestamp(F.date_add("_day", 1).cast("timestamp") + F.expr(f"INTERVAL {int(start_hour)} HOURS"), zone)
     limited = limit_lookup(items.filter("source_feed IS NOT NULL"), limits, default_limit).filter("feed_limit > 0")
-    asked = limited.withWatermark(seen, late).select(
-        "source_feed", day.alias("digest_day"), F.pmod(content_key(items.columns), F.lit(salts)).cast("int").alias("part"), seen,
-        F.unix_millis(end).alias("closes"), _micros("published").alias("published"), F.coalesce(F.col("entry_pos").cast("bigint"), F.lit(0).cast("bigint")).alias("entry_pos"),
-        content_key([c for c in CONTENT if c in items.columns]).alias("content"), "feed_limit",
-        F.to_json(F.struct(*items.columns, day.alias("digest_day"), "feed_limit"), _JSON).alias("item"),
-    ).filter("digest_day IS NOT NULL")
+    placed = limited.select(
+        *items.columns, "feed_limit", day.alias("_day"), _micros(seen).alias("_seen"), _micros("published").alias("_published"),
+        F.coalesce(F.col("entry_pos").cast("bigint"), F.lit(0).cast("bigint")).alias("_entry"), content_key([c for c in CONTENT if c in items.columns]).alias("_content"),
+    ).filter("_day IS NOT NULL")
+    asked = placed.mapInArrow(_hopeful, placed.schema).withWatermark(seen, late).select(
+        "source_feed", F.col("_day").alias("digest_day"), F.pmod(content_key(items.columns), F.lit(salts)).cast("int").alias("part"), seen,
+        F.unix_millis(end).alias("closes"), F.col("_published").alias("published"), F.col("_entry").alias("entry_pos"), F.col("_content").alias("content"), "feed_limit",
+        F.to_json(F.struct(*items.columns, F.col("_day").alias("digest_day"), "feed_limit"), _JSON).alias("item"),
+    )
     finals = asked.groupBy("source_feed", "digest_day", "part").transformWithStateInPandas(
         statefulProcessor=NewestOfDay(), outputStructType="item string", outputMode="append", timeMode="eventTime")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
