@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,25 +15,23 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from feedloom.llm.common import whole
-from feedloom.llm.grams import mix, slices
+from feedloom.llm.grams import mix, slices, stream, stretches_of_bytes, word_hashes
 from feedloom.storage import materialize
 
 LENGTH = 2048
 END_ID = 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 8
 # Words whose ids a worker remembers at most; beyond it those met first are forgotten and encoded anew when they come again.
-REMEMBERED = 350_000
+REMEMBERED = 1_500_000
 # Words encoded in one call.
 CALL = 500
+# Bytes of text a worker takes up at a time.
+STRETCH = 1 << 18
 
-# Characters that str.split() takes for blanks and the vocabulary does not.
-_ODD = re.compile("[\x1c-\x1f]")
-_WORD = re.compile(r"[^ \t\n\r]+")
-
-
-def split(text: str) -> list[str]:
-    """Runs between blanks; the vocabulary drops white space, and no merge or normal form reaches across it."""
-    return _WORD.findall(text) if _ODD.search(text) else text.split()
+# Words are runs between blanks; the vocabulary drops white space, and no merge or normal form reaches across it.
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r"))
+# ASCII signs but the apostrophe: a run of them behind a letter is a word of its own to the vocabulary.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _ends_in_letter(core: str) -> bool:
@@ -46,6 +42,89 @@ def _ends_in_letter(core: str) -> bool:
     return core.isascii() or core[-1] <= "\u024f" and unicodedata.normalize("NFC", core.lower())[-1].isalpha()
 
 
+class WordTable:
+    """Ids of words by 64-bit hashes of the words, all in a few arrays: the words themselves are not kept.
+
+    Of a million words any two share a hash with a chance of 3 in 10^8.
+    """
+
+    def __init__(self) -> None:
+        self.hashes, self.begin, self.ids = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
+        self.size = 0
+        self._deal(1 << 10)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def _deal(self, slots: int) -> None:
+        self.slots = np.full(slots, -1, dtype=np.int32)
+        self._place(np.arange(self.size, dtype=np.int32))
+
+    def _place(self, rows: np.ndarray) -> None:
+        """Rows go to the first free slot from their own on."""
+        at = self._slots(self.hashes[rows])
+        while len(rows):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = rows[free]
+            left = self.slots[at] != rows
+            rows, at = rows[left], (at[left] + 1) & (len(self.slots) - 1)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows, -1 for words that are not there."""
+        found = self.slots[self._slots(hashes)]
+        open_ = np.flatnonzero((found >= 0) & (self._of(found) != hashes))
+        at = self._slots(hashes[open_])
+        while len(open_):
+            at = (at + 1) & (len(self.slots) - 1)
+            rows, wanted = self.slots[at], hashes[open_]
+            found[open_] = rows
+            left = (rows >= 0) & (self._of(rows) != wanted)
+            open_, at = open_[left], at[left]
+        return found
+
+    def _of(self, rows: np.ndarray) -> np.ndarray:
+        return self.hashes[rows] if self.size else np.zeros(len(rows), dtype=np.uint64)
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """New words, the ids of which lie end to end."""
+        rows, used = self.size + len(hashes), int(self.begin[self.size])
+        self.hashes, self.begin, self.ids = _room(self.hashes, rows), _room(self.begin, rows + 1), _room(self.ids, used + len(ids))
+        self.hashes[self.size:rows] = hashes
+        self.begin[self.size + 1:rows + 1] = used + np.cumsum(counts)
+        self.ids[used:used + len(ids)] = ids
+        before, self.size = self.size, rows
+        if 2 * rows > len(self.slots):
+            self._deal(1 << (2 * rows).bit_length())
+        else:
+            self._place(np.arange(before, rows, dtype=np.int32))
+
+    def forget(self, words: int) -> None:
+        """Only the ``words`` met last stay."""
+        first, used = self.size - words, int(self.begin[self.size])
+        self.hashes, self.ids = self.hashes[first:self.size].copy(), self.ids[self.begin[first]:used].copy()
+        self.begin = self.begin[first:self.size + 1] - self.begin[first]
+        self.size = words
+        self._deal(max(1 << 10, 1 << (2 * words).bit_length()))
+
+    def spelled(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows end to end, and how many each has."""
+        begin = self.begin[rows]
+        counts = self.begin[rows + 1] - begin
+        edges = np.cumsum(counts)
+        return self.ids[np.repeat(begin - edges + counts, counts) + np.arange(edges[-1] if len(edges) else 0)], counts
+
+
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    out = np.zeros(size + size // 2, dtype=values.dtype)
+    out[:len(values)] = values
+    return out
+
+
 class Words:
     """Ids of words by one vocabulary; words that come again are remembered."""
 
@@ -56,48 +135,73 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        """Runs of letters before full stops or commas are encoded apart where the vocabulary's own split does the same."""
-        parts = {}
-        for word in words:
-            core = word.rstrip(".,")
+        self.known = WordTable()
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Runs of letters, and those with signs behind them, are encoded many in a text; where the vocabulary splits a word otherwise, apart."""
+        # How many words the vocabulary makes of each at least: the letters and the signs are one each.
+        simple, rest = [], []
+        for i, word in enumerate(words):
+            if word.isalpha():
+                simple.append((i, 1))
+                continue
+            core = word.rstrip(_SIGNS)
             if len(core) < len(word) and core.isalpha() and _ends_in_letter(core):
-                parts[word] = (core, word[len(core):])
-        self._encode(list(set(words).difference(parts).union(*parts.values()).difference(self.known)))
-        for word, (core, tail) in parts.items():
-            self.known[word] = self.known[core] + self.known[tail]
-
-    def _encode(self, words: list[str]) -> None:
-        letters = [w for w in words if w.isalpha()]
-        rest = [w for w in words if not w.isalpha()]
-        calls = [letters[i:i + CALL] for i in range(0, len(letters), CALL)]
-        for call, encoded in zip(calls, self.tokenizer.encode_batch_fast([" ".join(c) for c in calls], add_special_tokens=False)):
+                simple.append((i, 2))
+            else:
+                rest.append(i)
+        calls = [simple[i:i + CALL] for i in range(0, len(simple), CALL)]
+        learnt = []
+        for call, encoded in zip(calls, self.tokenizer.encode_batch_fast([" ".join([words[i] for i, _ in c]) for c in calls], add_special_tokens=False)):
+            of, least = np.array(call).T
             ids = np.array(encoded.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(call):  # a run of letters ends with one token that ends a word
-                self._keep(call, ids, [0, *ends.tolist()])
+            last = np.cumsum(least)
+            if len(ends) == last[-1]:  # none is split further
+                learnt.append((of, np.diff(ends[last - 1], prepend=0), ids))
             else:
-                rest += call
+                rest += of.tolist()
         calls = [rest[i:i + CALL] for i in range(0, len(rest), CALL)]
-        for call, encoded in zip(calls, self.tokenizer.encode_batch(calls, is_pretokenized=True, add_special_tokens=False)):
+        for call, encoded in zip(calls, self.tokenizer.encode_batch([[words[i] for i in c] for c in calls], is_pretokenized=True, add_special_tokens=False)):
             of = np.array([-1 if w is None else w for w in encoded.word_ids], dtype=np.int64)
-            self._keep(call, np.array(encoded.ids, dtype="<u4"), np.searchsorted(of, np.arange(len(call) + 1)).tolist())
-
-    def _keep(self, words: list[str], ids: np.ndarray, edges: list[int]) -> None:
-        data = ids.tobytes()
-        for word, start, end in zip(words, edges, edges[1:]):
-            self.known[word] = data[4 * start:4 * end]
+            learnt.append((np.array(call), np.diff(np.searchsorted(of, np.arange(len(call) + 1))), np.array(encoded.ids, dtype="<u4")))
+        order, counts, ids = map(np.concatenate, zip(*learnt))
+        self.known.add(hashes[order], counts, ids)
+
+    def _rows(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word begins and its row in the table; words that are not there are learnt. The last byte is a blank."""
+        blank = _BLANK[data]
+        start, hashes = word_hashes(data, blank)
+        rows = self.known.find(hashes)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            begin = start[missing[first]]
+            end = np.flatnonzero(blank & np.concatenate([[False], ~blank[:-1]]))[missing[first]]
+            text = data.tobytes()
+            self._learn(new, [text[s:e].decode() for s, e in zip(begin.tolist(), end.tolist())])
+            rows[missing] = self.known.find(hashes[missing])
+        return start, rows
 
     def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text, with the end id."""
         if len(self.known) > self.remembered:
-            self.known = dict(islice(self.known.items(), len(self.known) - self.remembered // 2, None))
-        texts_words = [split(text) for text in texts]
-        self._learn(list(set().union(*texts_words).difference(self.known)))
-        end = np.array([end_id], dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, found)) + end, dtype="<u4") for found in texts_words]
+            self.known.forget(self.remembered // 2)
+        joined, starts, _ = stream([*[t.encode() for t in texts], b""], b" ")
+        blanks = np.flatnonzero(_BLANK[joined])
+        found, at = [], 0
+        while at < len(joined):  # a long text in stretches
+            end = int(blanks[min(np.searchsorted(blanks, at + STRETCH), len(blanks) - 1)]) + 1
+            start, rows = self._rows(joined[at:end])
+            found.append((start + at, rows))
+            at = end
+        start, rows = map(np.concatenate, zip(*found))
+        flat, counts = self.known.spelled(rows)
+        # Behind the ids of the words before the next text.
+        edges = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(start, starts)]
+        flat = np.insert(flat, edges[1:], end_id)
+        edges += np.arange(len(edges))
+        return [flat[s:e] for s, e in zip(edges.tolist(), edges[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -154,7 +258,7 @@ def placed(docs: DataFrame, path: str, end_id: int, remembered: int = REMEMBERED
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, remembered)
-        for batch in slices(tables):
+        for batch in stretches_of_bytes(tables, size=STRETCH):
             ids = words.ids(batch.column("text").to_pylist(), end_id)
             curve = hilbert_key(grid(hashed_vectors(ids)))
             data = pa.array([x.tobytes() for x in ids], pa.binary())

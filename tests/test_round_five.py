@@ -4,15 +4,20 @@ import datetime as dt
 import random
 from pathlib import Path
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+from feedloom.llm import packing
 from feedloom.sources.feeds import feed_scan, read_bodies, write_bodies
 from feedloom.storage import shared_dir
 from feedloom.streaming import feeds, state
 
 SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 @pytest.mark.parametrize("name, runs", [("stream_resume", 2), ("stream_items", 1)])
@@ -64,3 +69,41 @@ def test_rows_beyond_a_feeds_limit_are_not_shuffled():
                 assert {r["n"] for r in sorted(mine, key=order)[:most]} <= left
     [none] = state._hopeful(iter([batch.slice(0, 0)]))
     assert none.num_rows == 0
+
+
+def test_words_are_remembered_in_arrays():
+    """op8: ids of a word take a few dozen bytes, so that a worker remembers a million; signs behind letters need no call of their own."""
+    tokenizer, words = Tokenizer.from_file(PATH), packing.Words(PATH)
+    texts = [" ".join(f"Wort{''.join(chr(97 + int(c)) for c in str(i))}{sign}" for i in range(k, k + 300)) for k, sign in enumerate(["", ".", "%%%", "'", ".'", "=\\", "'s!", "é,<|", "_^", "İ-", "̸"])]
+    for _ in range(2):
+        for ids, encoded in zip(words.ids(texts, 1), tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert ids.tolist() == [*encoded.ids, 1]
+    table = words.known
+    assert len(table) == len({w for t in texts for w in t.split(" ")})
+    assert sum(x.nbytes for x in (table.hashes, table.begin, table.ids, table.slots)) < 150 * len(table)
+
+
+def test_table_of_words_finds_what_it_holds():
+    rng = np.random.default_rng(7)
+    table, want = packing.WordTable(), {}
+    for step in range(30):
+        # Many share their lowest bits, so that they meet in the same slots.
+        new = np.unique(rng.integers(0, 1 << 62, 700, dtype=np.uint64) << np.uint64(8 if step % 2 else 0))
+        counts = rng.integers(0, 4, len(new))
+        ids = rng.integers(0, 50_000, counts.sum()).astype("<u4")
+        assert (table.find(new) < 0).all()
+        table.add(new, counts, ids)
+        want |= dict(zip(new.tolist(), np.split(ids, np.cumsum(counts)[:-1])))
+        if step == 20:
+            table.forget(500)
+            want = dict(list(want.items())[-500:])
+        flat, n = table.spelled(table.find(np.array(list(want), dtype=np.uint64)))
+        assert len(table) == len(want) and [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [x.tolist() for x in want.values()]
+
+
+def test_long_text_in_stretches(monkeypatch):
+    words = packing.Words(PATH)
+    texts = ["", "a long " * 50 + "x" * 300 + " end. ", " \n", "b"]
+    whole = [x.tolist() for x in words.ids(texts, 1)]
+    monkeypatch.setattr(packing, "STRETCH", 40)
+    assert [x.tolist() for x in packing.Words(PATH).ids(texts, 1)] == whole and whole[0] == whole[2] == [1]
