@@ -10,6 +10,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -113,7 +114,7 @@ class Tokens:
 
     @staticmethod
     def join(ids: list[int], of: list[bytes]) -> bytes:
-        return b"".join([of[i] for i in ids])
+        return b"".join(map(of.__getitem__, ids))
 
 
 # Separators that Python takes for blanks and Unicode does not.
@@ -137,33 +138,38 @@ def tokens(a_path: str, a_ranks: str | None, b_path: str) -> Tokens:
     return Tokens(a_path, a_ranks, b_path)
 
 
-def _middle_out(a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def _ended(ends: np.ndarray) -> np.ndarray:
+    """For each byte of the texts and the two places behind the last how many tokens end before it: what a search would find."""
+    return np.concatenate([[0], np.cumsum(np.bincount(ends)), [len(ends)]])
+
+
+def _middle_out(a: np.ndarray, b: np.ndarray, a_ended: np.ndarray, b_ended: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """For each interval of A tokens low..high the one near the middle at whose end a B token ends too; -1 if there is none inside.
 
-    From the middle the ends of both sides are found by bisection in turn, to the right and then to the left.
+    From the middle the next ends of both sides are looked up in turn, to the right and then to the left.
     """
     middle = (low + high) // 2
     found = np.full(len(low), -1, dtype=np.int64)
     at, open_ = middle.copy(), np.arange(len(low))
     while len(open_):
         wanted = a[at]
-        there = b[np.searchsorted(b, wanted)]
+        there = b[b_ended[wanted]]
         same = there == wanted
         inside = at[same] < high[open_[same]]
         found[open_[same][inside]] = at[same][inside]
-        open_, at = open_[~same], np.searchsorted(a, there[~same])
+        open_, at = open_[~same], a_ended[there[~same]]
     open_ = np.flatnonzero(found < 0)
     at = middle[open_] - 1
     while len(open_):
         keep = at >= low[open_]
         open_, at = open_[keep], at[keep]
         wanted = a[at]
-        before = np.searchsorted(b, wanted, "right") - 1
+        before = b_ended[wanted + 1] - 1
         # Before the first token of B there is only the start of all texts.
         there = np.where(before >= 0, b[before], 0)
         same = there == wanted
         found[open_[same]] = at[same]
-        open_, at = open_[~same], np.searchsorted(a, there[~same], "right") - 1
+        open_, at = open_[~same], a_ended[there[~same] + 1] - 1
     return found
 
 
@@ -176,12 +182,13 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, lasts: np.ndarray) -> np.ndarray:
     cut = np.zeros(len(a), dtype=bool)
     cut[lasts] = True
     low, high = np.concatenate([[0], lasts[:-1] + 1]), lasts
+    a_ended, b_ended = _ended(a), _ended(b)
     while True:
         wide = low < high
         low, high = low[wide], high[wide]
         if not len(low):
             return np.flatnonzero(cut)
-        at = _middle_out(a, b, low, high)
+        at = _middle_out(a, b, a_ended, b_ended, low, high)
         split = at >= 0
         low, high, at = low[split], high[split], at[split]
         cut[at] = True
@@ -226,7 +233,7 @@ def align(docs: DataFrame, a_path: str, a_ranks: str | None, b_path: str) -> Dat
 
 
 def _flat(lists: list[list[int]]) -> np.ndarray:
-    return np.fromiter((i for ids in lists for i in ids), dtype=np.int64, count=sum(map(len, lists)))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=sum(map(len, lists)))
 
 
 def _cells(values: np.ndarray, counts: np.ndarray, pack=lambda x: x) -> pa.Array:
@@ -272,9 +279,13 @@ def links(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray)
 
     Between two neighbouring ends of either side lies just one overlap of an A and a B token, and each overlap lies between two such ends.
     """
-    ends = np.union1d(a_ends, b_ends)
-    of_a = np.searchsorted(a_ends, ends)
-    return a[of_a] << SHIFT | b[np.searchsorted(b_ends, ends)], of_a
+    a_ended, b_ended = _ended(a_ends), _ended(b_ends)
+    either = np.zeros(len(a_ended), dtype=bool)
+    either[a_ends] = True
+    either[b_ends] = True
+    ends = np.flatnonzero(either)
+    of_a = a_ended[ends]
+    return a[of_a] << SHIFT | b[b_ended[ends]], of_a
 
 
 def _linked(batch: pa.RecordBatch, length: Lengths) -> tuple[np.ndarray, np.ndarray]:
@@ -286,9 +297,15 @@ def _linked(batch: pa.RecordBatch, length: Lengths) -> tuple[np.ndarray, np.ndar
 
 def _per_row(pairs: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of each row, the rows, and how often each pair occurs there."""
+    if not len(pairs):
+        return pairs, row, np.zeros(0, dtype=np.int64)
+    bits = int(pairs.max()).bit_length()
+    if int(row.max()).bit_length() + bits < 64:  # both in one number, which is sorted faster
+        both, n = counted(row << bits | pairs)
+        return both & (1 << bits) - 1, both >> bits, n
     order = np.lexsort((pairs, row))
     pairs, row = pairs[order], row[order]
-    first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]) | (row[1:] != row[:-1])])) if len(pairs) else order
+    first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]) | (row[1:] != row[:-1])]))
     return pairs[first], row[first], np.diff(np.append(first, len(pairs)))
 
 

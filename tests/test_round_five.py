@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -11,13 +12,14 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from feedloom.llm import packing
+from feedloom.llm import alignment, packing
 from feedloom.sources.feeds import feed_scan, read_bodies, write_bodies
 from feedloom.storage import shared_dir
 from feedloom.streaming import feeds, state
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PATHS = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")]
 
 
 @pytest.mark.parametrize("name, runs", [("stream_resume", 2), ("stream_items", 1)])
@@ -107,3 +109,30 @@ def test_long_text_in_stretches(monkeypatch):
     whole = [x.tolist() for x in words.ids(texts, 1)]
     monkeypatch.setattr(packing, "STRETCH", 40)
     assert [x.tolist() for x in packing.Words(PATH).ids(texts, 1)] == whole and whole[0] == whole[2] == [1]
+
+
+def test_links_are_looked_up_not_searched():
+    """op11: what a search among the ends would find, zero-length tokens included, and sorted pairs of a row whether or not they fit one number."""
+    rng = np.random.default_rng(11)
+    for size in (1, 2, 40, 400):
+        a, b = (np.sort(np.append(rng.integers(1, 3 * size, size), 3 * size)) for _ in range(2))
+        ended = alignment._ended(a)
+        at = np.arange(3 * size + 1)
+        assert (ended[at] == np.searchsorted(a, at)).all() and (ended[at + 1] == np.searchsorted(a, at, "right")).all()
+        ends = np.union1d(a, b)
+        ids = rng.integers(0, 50_000, (2, size + 1))
+        pairs, of_a = alignment.links(*ids, a, b)
+        assert of_a.tolist() == np.searchsorted(a, ends).tolist()
+        assert pairs.tolist() == (ids[0][of_a] << alignment.SHIFT | ids[1][np.searchsorted(b, ends)]).tolist()
+        row = np.sort(rng.integers(0, 64, len(pairs)))
+        for wide in (0, 1 << 62):
+            values = pairs % 7 + wide
+            found = list(zip(*(x.tolist() for x in alignment._per_row(values, row))))
+            assert found == [(p, r, n) for (r, p), n in sorted(Counter(zip(row.tolist(), values.tolist())).items())]
+    none = np.zeros(0, dtype=np.int64)
+    assert [len(x) for x in (*alignment.links(none, none, none, none), *alignment._per_row(none, none))] == [0] * 5
+
+
+def test_only_empty_texts(spark, frame):
+    rows = alignment.alignment(frame([(1, ""), (2, None)], "doc_id long, text string").coalesce(1), *PATHS).collect()
+    assert sorted((r.doc_id, r.n_a, r.n_links, r.groups_sha256) for r in rows) == [(1, 0, 0, ""), (2, 0, 0, "")]
