@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,17 @@ def rolling(data: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
         reach *= 2
 
 
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, seen without a copy."""
+    return np.ndarray(max(len(data) - 7, 0), dtype="<u8", buffer=data, strides=(1,))
+
+
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes (two words) from each place on."""
+    words = words_at(data)
+    return mix(mix(words[:-8]) + words[8:] * np.uint64(0x9E3779B97F4A7C15))
+
+
 def sliding(values: np.ndarray, width: int, smallest: np.ufunc) -> np.ndarray:
     """The extreme of each ``width`` values in a row."""
     reach = 1
@@ -58,10 +70,11 @@ def window_shards(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, length
     n = len(data) - length + 1
     if n < 1:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
-    hashes = rolling(data, GRAM)
+    hashes = gram_hashes(data)
     shards = sliding(hashes, length - GRAM + 1, np.minimum)
-    left = np.repeat(ends, ends - starts)[:n] - np.arange(n)
-    return hashes, shards, left >= length
+    room = np.maximum(ends - starts - length + 1, 0)
+    valid = np.repeat(np.tile([True, False], len(ends)), np.stack([room, ends - starts - room], axis=1).ravel())
+    return hashes, shards, valid[:n]
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,6 +82,13 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), dtype=np.uint8), np.concatenate([[0], ends[:-1]]), ends
 
 
+def _of_rows(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lists of runs, one list (or none) a row: each run's row, start and windows."""
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    runs = lists.flatten()
+    return np.repeat(np.arange(len(lists)), counts), *(runs.field(c).to_numpy(zero_copy_only=False) for c in ("start", "windows"))
+
+
 def anchors(docs: DataFrame, length: int) -> DataFrame:
     """shard: one row for each place whose gram gives a window its shard."""
 
@@ -90,18 +110,19 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stretches_of_bytes(tables):
-            texts = batch.column("text").to_pylist()
-            data, starts, ends = _joined(texts)
+            data, starts, ends = _joined(batch.column("text").to_pylist())
             _, shards, valid = window_shards(data, ends, starts, length)
-            at = np.flatnonzero(valid)
-            of = np.searchsorted(ends, at, "right")
-            new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (shards[at[1:]] != shards[at[:-1]])])) if len(at) else at
-            first, count = at[new], np.diff(np.append(new, len(at)))
+            turn = np.ones(len(shards) + 1, dtype=bool)
+            turn[1:-1] = shards[1:] != shards[:-1]
+            turn[starts[starts < len(shards)]] = True
+            first = np.flatnonzero(valid & turn[:-1])
+            count = np.flatnonzero(valid & (turn[1:] | ~np.append(valid[1:], False))) - first + 1
+            of = np.searchsorted(ends, first, "right")
             view = memoryview(data)
             content = [xxhash.xxh3_64_intdigest(view[a:a + n + length - 1]) for a, n in zip(first.tolist(), count.tolist())]
             yield pa.RecordBatch.from_arrays([
                 pa.array(shards[first].view(np.int64)), pa.array(np.array(content, dtype=np.uint64).view(np.int64)),
-                batch.column("doc_id").take(pa.array(of[new])), pa.array((first - starts[of[new]])), pa.array(count),
+                batch.column("doc_id").take(pa.array(of)), pa.array(first - starts[of]), pa.array(count),
             ], ["shard", "content", "doc_id", "start", "windows"])
 
     return docs.select("doc_id", "text").mapInArrow(batches, "shard long, content long, doc_id long, start long, windows long")
@@ -112,13 +133,13 @@ def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(tables, 64):
-            rows = [
-                (w["shard"], doc_id, w["start"], text[w["start"]:w["start"] + w["windows"] + length - 1])
-                for doc_id, text, ws in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted"))) for w in ws
-            ]
-            columns = list(zip(*rows)) or [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "doc_id", "start", "piece"])
+            texts = batch.column("text").to_pylist()
+            of, start, windows = _of_rows(batch.column("wanted"))
+            ends = start + windows + (length - 1)
+            pieces = [texts[i][a:b] for i, a, b in zip(of.tolist(), start.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("wanted").flatten().field("shard"), batch.column("doc_id").take(pa.array(of)), pa.array(start), pa.array(pieces, pa.binary()),
+            ], ["shard", "doc_id", "start", "piece"])
 
     of_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("shard", "start", "windows")).alias("wanted"))
     # Rows of one doc_id are one document: its pieces are cut once, or they would repeat themselves.
@@ -128,12 +149,40 @@ def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     )
 
 
+def may_repeat(shards: np.ndarray, pieces: list[bytes], length: int) -> np.ndarray:
+    """The pieces, by number, that can hold a window found twice; ``shards``: the shard of each.
+
+    A window holds its shard's gram and reaches half of its other bytes to the left of it or the rest
+    to the right, so windows that are equal agree in one of these halves around their grams.
+    """
+    lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    ends, data = np.cumsum(lengths), np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    shards = shards.view(np.uint64)
+    hashes, words = gram_hashes(data), words_at(data)
+    at = np.flatnonzero(hashes == np.repeat(shards, lengths)[:len(hashes)])
+    of = np.searchsorted(ends, at, "right")
+    half = (length - GRAM) // 2
+    kept = np.zeros(len(pieces), dtype=bool)
+    for back, on in ((half, GRAM), (0, length - half)):
+        inside = (at - back >= ends[of] - lengths[of]) & (at + on <= ends[of])
+        owner, first = of[inside], at[inside] - back
+        keys = shards[owner]
+        for step in [*range(0, back + on - 8, 8), back + on - 8]:
+            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + words[first + step])
+        order = np.argsort(keys)
+        same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+        kept[owner[order[same]]] = kept[owner[order[same + 1]]] = True
+    return np.flatnonzero(kept)
+
+
 def repeated_in_shards(pieces: DataFrame, length: int) -> DataFrame:
     """doc_id, start, windows: runs of windows that begin earlier within their shard."""
 
     def marks(group: list[tuple]) -> pa.RecordBatch:
-        docs, starts, parts = zip(*group)
-        at = repeated_starts(list(parts), length)
+        shards, docs, starts, parts = zip(*group)
+        kept = may_repeat(np.array(shards, dtype=np.int64), list(parts), length)
+        docs, starts, parts = ([column[i] for i in kept.tolist()] for column in (docs, starts, parts))
+        at = repeated_starts(parts, length) if parts else kept
         bases = np.cumsum([0, *[len(p) + 1 for p in parts]])
         of = np.searchsorted(bases, at, "right") - 1
         new = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(of) != 0)])) if len(at) else at
@@ -146,12 +195,12 @@ def repeated_in_shards(pieces: DataFrame, length: int) -> DataFrame:
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, size, last = [], 0, None
         for batch in slices(tables):
-            for shard, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "start", "piece"))):
-                if size > SHARD and shard != last:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "start", "piece"))):
+                if size > SHARD and row[0] != last:
                     yield marks(group)
                     group, size = [], 0
-                group.append(tuple(row))
-                size, last = size + len(row[2]), shard
+                group.append(row)
+                size, last = size + len(row[3]), row[0]
         if group:
             yield marks(group)
 
@@ -205,7 +254,8 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     documents. Windows fall to shards by the smallest hash of their 16-byte
     grams; runs of windows of a shard are kept once, with their first place, and
     only shards that hold different runs, or one with a repeat in itself, are
-    built: suffix array by induced sorting, permuted common prefixes, and of each
+    built, of those of their runs that agree with another (or themselves) in half a window around the
+    shard's gram: suffix array by induced sorting, permuted common prefixes, and of each
     group of equal windows all but the first. Equal runs and windows are told by
     128 bits (64 of the shard, 64 of the content). A shard of more than ``LARGE`` runs, as a
     very common passage makes, is resolved window by window instead, counted
@@ -222,9 +272,8 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = repeats(named, by_id, length).groupBy("doc_id").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
 
     def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(tables):
-            rows = [_removed(text, spans, length) for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-            columns = [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]]
+        for batch in stretches_of_bytes(tables):
+            columns = [batch.column("doc_id"), *_removed(batch.column("text").to_pylist(), batch.column("spans"), length)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return by_id.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
@@ -232,17 +281,26 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
-def _removed(text: bytes, spans: list[dict] | None, length: int) -> tuple[int, int, int, bytes]:
-    if not spans:
-        return len(text), 0, 0, text
-    step = np.zeros(len(text) + 1, dtype=np.int64)
-    start = np.array([s["start"] for s in spans])
-    np.add.at(step, start, 1)
-    np.add.at(step, start + np.array([s["windows"] for s in spans]) + length - 1, -1)
-    gone = np.cumsum(step[:-1]) > 0
-    runs = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-    kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
-    return len(text), int(gone.sum()), runs, kept
+def _removed(texts: list[bytes], spans: pa.ListArray, length: int) -> list[pa.Array]:
+    """Per text its bytes, how many of them go, in how many runs, and what is left."""
+    data, starts, ends = _joined(texts)
+    of, start, windows = _of_rows(spans)
+    first = starts[of] + start
+    step = np.zeros(len(data) + 1, dtype=np.int32)
+    np.add.at(step, first, 1)
+    np.add.at(step, first + windows + (length - 1), -1)
+    gone = np.cumsum(step[:-1], dtype=np.int32) > 0
+    new = gone.copy()
+    new[1:] &= ~gone[:-1]
+    edges = starts[starts < len(data)]
+    new[edges] = gone[edges]
+    places = np.flatnonzero(gone), np.flatnonzero(new)
+    removed, runs = (np.searchsorted(p, ends) - np.searchsorted(p, starts) for p in places)
+    kept = data[~gone]
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes - removed)]).astype(np.int32)
+    left = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+    return [pa.array(sizes), pa.array(removed), pa.array(runs), left]
 
 
 def digests(deduplicated: DataFrame) -> DataFrame:
