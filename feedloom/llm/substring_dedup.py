@@ -50,10 +50,17 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return np.ndarray(max(len(data) - 7, 0), dtype="<u8", buffer=data, strides=(1,))
 
 
+# What rolling() gives for two bytes, by both as one number.
+PAIRS = rolling(np.stack([np.repeat(np.arange(256), 256), np.tile(np.arange(256), 256)], axis=1).ravel(), 2)[::2]
+
+
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the ``GRAM`` bytes (two words) from each place on."""
-    words = words_at(data)
-    return mix(mix(words[:-8]) + words[8:] * np.uint64(0x9E3779B97F4A7C15))
+    """The hash rolling() gives for the ``GRAM`` bytes from each place on, from hashes of pairs."""
+    power, reach = PAIRS[data[:-1].astype(np.uint16) << 8 | data[1:]], 2
+    while reach < GRAM:
+        power = mix(power[:-reach] * np.uint64(0xC2B2AE3D27D4EB4F) + power[reach:])
+        reach *= 2
+    return power
 
 
 def sliding(values: np.ndarray, width: int, smallest: np.ufunc) -> np.ndarray:

@@ -39,9 +39,9 @@ def noise(rng, n):
 
 def test_pieces_that_share_less_than_a_window_are_not_sorted(monkeypatch):
     rng, length, sorted_bytes = random.Random(5), substring_dedup.LENGTH, []
-    phrase, passage = noise(rng, 40), noise(rng, length)
-    texts = {i: noise(rng, 150) + phrase + noise(rng, 150) for i in range(300)}
-    texts |= {i: noise(rng, 150) + passage + noise(rng, 150) for i in (300, 301)}
+    phrases, passage = [noise(rng, 50) for _ in range(8)], noise(rng, length)
+    texts = {i: b"".join(noise(rng, 70) + p for p in phrases) for i in range(100)}
+    texts |= {i: noise(rng, 149) + edge + passage + edge + noise(rng, 149) for i, edge in ((300, b"1"), (301, b"2"))}
     pieces = pieces_of(texts, length)
     by_shard = defaultdict(list)
     for shard, *row in pieces:
@@ -53,7 +53,13 @@ def test_pieces_that_share_less_than_a_window_are_not_sorted(monkeypatch):
         [pa.array(c, k) for c, k in zip(zip(*mixed), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["shard", "doc_id", "start", "piece"])
     found = substring_dedup.repeated_in_shards(Local(batch), length)
     assert [(r["doc_id"], r["start"], r["windows"]) for r in found] == [(301, 150, 1)]
-    assert sum(len(p[3]) for p in mixed) > 20_000 and sum(sorted_bytes) < 1_000
+    assert sum(len(p[3]) for p in mixed) > 20_000 and sum(sorted_bytes) < 2_000
+
+
+def test_hashes_of_grams_are_those_of_rolling():
+    for n in (0, 1, 2, 15, 16, 17, 5000):
+        data = np.frombuffer(random.Random(n).randbytes(n), dtype=np.uint8)
+        assert np.array_equal(substring_dedup.gram_hashes(data), substring_dedup.rolling(data, substring_dedup.GRAM))
 
 
 @pytest.mark.parametrize("length", [16, 17, 40, 100])
